@@ -7,11 +7,12 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -63,55 +64,72 @@ class OrderedScan:
 
     Rows are range-partitioned by ``group + order`` (so a group of any size spreads over partitions),
     sorted within partitions and materialised in the shared checkpoint folder. A partition then sees
-    the last ``tail`` rows before it: the driver holds ``partitions x tail`` small rows, whatever the
-    size of the data.
+    the last ``tail`` rows before it and knows how many rows of its first group lie before it: the driver
+    holds ``partitions x (tail + 1)`` small rows, whatever the size of the data.
     """
 
-    def __init__(self, df: DataFrame, group: list[str], order: list[str], tail: int = 0) -> None:
+    def __init__(self, df: DataFrame, group: str, order: list[str], tail: int = 1) -> None:
         self.spark = df.sparkSession
-        n = parallelism(self.spark)
-        keys = [*group, *order]
-        self.rows = materialise(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
-        self.tail = tail
-        self._carry: dict[int, list[tuple]] | None = None
-
-    def carry(self) -> dict[int, list[tuple]]:
-        """For each partition, the last ``tail`` rows before it, oldest first."""
-        if self._carry is None:
-            tail, columns = self.tail, self.rows.columns
-
-            def last(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                kept: pd.DataFrame | None = None
-                for batch in batches:
-                    kept = batch.tail(tail) if kept is None or len(batch) >= tail else pd.concat([kept, batch]).tail(tail)
-                if kept is not None and len(kept):
-                    kept = kept.assign(_part=TaskContext.get().partitionId(), _pos=range(len(kept)))
-                    yield kept
-
-            schema = StructType(self.rows.schema.fields).add("_part", "int").add("_pos", "int")
-            got: dict[int, list[tuple]] = {}
-            if tail:
-                for r in self.rows.mapInPandas(last, schema).sort("_part", "_pos").collect():
-                    got.setdefault(r["_part"], []).append(tuple(r[c] for c in columns))
-            out: dict[int, list[tuple]] = {}
-            before: list[tuple] = []
-            for part in range(self.rows.rdd.getNumPartitions()):
-                out[part] = before
-                before = (before + got.get(part, []))[-tail:] if tail else []
-            self._carry = out
-        return self._carry
-
-    def map(self, fn: Callable[[pd.DataFrame, int], pd.DataFrame], schema: StructType | str) -> DataFrame:
-        """``fn(rows, n)``: rows of one batch after ``n`` rows of context; returns the result for the rows only."""
-        carry, tail, columns = self.carry(), self.tail, self.rows.columns
+        keys = [group, *order]
+        self.group, self.tail = group, max(1, tail)
+        self.rows = materialise(df.repartitionByRange(parallelism(self.spark), *keys).sortWithinPartitions(*keys))
+        self._carry: dict[int, tuple[list[tuple], int]] | None = None
+
+    def carry(self) -> dict[int, tuple[list[tuple], int]]:
+        """For each partition: the last ``tail`` rows before it, oldest first, and the length of the group they end in."""
+        if self._carry is not None:
+            return self._carry
+        tail, group, columns = self.tail, self.group, self.rows.columns
+
+        def last(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            kept, name, run, whole = None, None, 0, True
+            for batch in batches:
+                if not len(batch):
+                    continue
+                g = batch[group].to_numpy()
+                at = np.flatnonzero(g[1:] != g[:-1])
+                whole = whole and len(at) == 0 and (kept is None or name == g[0])
+                run = len(g) - 1 - at[-1] if len(at) else (run if name == g[0] and kept is not None else 0) + len(g)
+                name = g[-1]
+                kept = batch.tail(tail) if kept is None or len(batch) >= tail else pd.concat([kept, batch]).tail(tail)
+            if kept is not None:
+                yield kept.assign(_part=TaskContext.get().partitionId(), _nth=range(len(kept)), _run=int(run), _whole=bool(whole))
+
+        schema = StructType([*self.rows.schema.fields, *(StructField(c, LongType()) for c in ("_part", "_nth", "_run")), StructField("_whole", BooleanType())])
+        got: dict[int, list] = {}
+        for r in self.rows.mapInPandas(last, schema).collect():
+            got.setdefault(r["_part"], []).append(r)
+        out: dict[int, tuple[list[tuple], int]] = {}
+        before: list[tuple] = []
+        run, at = 0, columns.index(group)
+        for part in range(self.rows.rdd.getNumPartitions()):
+            out[part] = (before, run)
+            if rows := sorted(got.get(part, []), key=lambda r: r["_nth"]):
+                joined = bool(before) and before[-1][at] == rows[-1][group] and rows[0]["_whole"]
+                run = rows[0]["_run"] + (run if joined else 0)
+                before = (before + [tuple(r[c] for c in columns) for r in rows])[-tail:]
+        self._carry = out
+        return out
+
+    def map(self, fn: Callable[[pd.DataFrame, int, np.ndarray], pd.DataFrame], schema: StructType | str) -> DataFrame:
+        """``fn(rows, n, position)``: the rows of one batch after ``n`` rows of context, and the place of each batch row
+        in its group, from 1; it returns the result for the batch rows only. Order and partitions are kept."""
+        carry, tail, group, columns = self.carry(), self.tail, self.group, self.rows.columns
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            before = pd.DataFrame(carry.get(TaskContext.get().partitionId(), []), columns=columns)
+            rows, ahead = carry.get(TaskContext.get().partitionId(), ([], 0))
+            before = pd.DataFrame(rows, columns=columns)
             for batch in batches:
                 if not len(batch):
                     continue
+                g = batch[group].to_numpy()
+                start = np.concatenate([[True], g[1:] != g[:-1]])
+                at = np.arange(len(g))
+                position = at - np.maximum.accumulate(np.where(start, at, 0)) + 1
+                if len(before) and before[group].iloc[-1] == g[0]:
+                    position[: len(g) if start.sum() == 1 else np.flatnonzero(start)[1]] += ahead
                 both = pd.concat([before, batch], ignore_index=True) if len(before) else batch.reset_index(drop=True)
-                yield fn(both, len(before))
-                before = both.tail(tail) if tail else both.head(0)
+                yield fn(both, len(before), position)
+                before, ahead = both.tail(tail), int(position[-1])
 
         return self.rows.mapInPandas(run, schema)
