@@ -34,6 +34,18 @@ def p5_conversations(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("session_tag", "position", "entry_id", "role", "t", "parent_id", "tree_id")
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import languages
+
+    return languages.found(T(spark, d, "documents"))
+
+
+def p8_labels(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import languages
+
+    return languages.labels(T(spark, d, "documents"))
+
+
 ROLE_SQL = """CASE lower(trim({0})) WHEN 'user' THEN 'user' WHEN 'human' THEN 'user'
  WHEN 'assistant' THEN 'assistant' WHEN 'llm' THEN 'assistant' WHEN 'ai' THEN 'assistant' WHEN 'bot' THEN 'assistant'
  WHEN 'system' THEN 'system' WHEN 'tool' THEN 'tool' WHEN 'function' THEN 'tool' END"""
