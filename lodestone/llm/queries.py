@@ -34,6 +34,19 @@ def p5_conversations(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("session_tag", "position", "entry_id", "role", "t", "parent_id", "tree_id")
 
 
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import tokens
+
+    return tokens.encode(T(spark, d, "documents"))
+
+
+def p6_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The round trip: ids back to texts."""
+    from lodestone.llm import tokens
+
+    return tokens.decode(tokens.encode(T(spark, d, "documents")))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     from lodestone.llm import languages
 
@@ -93,4 +106,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p5_found": P5_SQL}
+    return {
+        "p1_found": P1_SQL,
+        "p5_found": P5_SQL,
+        "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    }
