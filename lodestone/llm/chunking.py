@@ -22,7 +22,7 @@ from lodestone.plans.physical import bounded_broadcast
 #: Boundaries from strong to weak; a cut lies after the match (fixed values).
 BOUNDARIES = [
     (6, re.compile(r"(?:\r?\n)[ \t]*(?:\r?\n\s*)+")),
-    (5, re.compile(r"\r\n|[\n\r  ]")),
+    (5, re.compile(r"\r\n|[\n\r\u2028\u2029]")),
     (4, re.compile(r"[.!?…。！？]+[\"'”’»)\]]*(?:\s+|(?<=[。！？]))")),
     (3, re.compile(r"[;:；：]\s+|[;；]")),
     (2, re.compile(r"[,，、]\s*")),

@@ -53,7 +53,7 @@ class WordScores:
             out[8] = 3.0 * len(low)
         elif CYRILLIC.search(low):
             out[7] = 6.0
-        else:
+        elif len(low) > 1 or low in "aeiouyàéèó":
             g = self.w[grams(low)].mean(axis=0) * min(6, 2 + len(low) ** 0.5)
             g = np.maximum(g - g.max(), -6)
             out[:7] = g - g.mean()

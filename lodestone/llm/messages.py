@@ -16,7 +16,7 @@ ROLE_NAMES = {
 #: Order of roles that share one time (fixed values); messages without role come last.
 ROLE_ORDER = ["system", "user", "tool", "assistant"]
 
-INVISIBLE = r"[\s\p{Z}\p{C}⠀ㅤᅟᅠﾠ]"
+INVISIBLE = r"[\s\p{Z}\p{C}\u2800\u3164\u115f\u1160\uffa0]"
 
 
 def trimmed(c: Column) -> Column:

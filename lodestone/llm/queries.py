@@ -21,6 +21,18 @@ def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     return chunking.pieces(T(spark, d, "chat_messages"), T(spark, d, "size_limits"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import answers
+
+    return answers.found(T(spark, d, "chat_messages"))
+
+
+def p3_defects(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import answers
+
+    return answers.defects(T(spark, d, "chat_messages"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     from lodestone.llm import conversations
 
