@@ -59,6 +59,25 @@ def p6_decoded(spark: SparkSession, d: str) -> DataFrame:
     return tokens.decode(tokens.encode(T(spark, d, "documents")))
 
 
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import packing
+
+    return packing.packed(T(spark, d, "documents"), T(spark, d, "size_limits"))
+
+
+def p7_each_capacity(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import packing
+
+    return packing.packed(T(spark, d, "documents"), T(spark, d, "size_limits"), each=True)
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and share unused for each capacity."""
+    from lodestone.llm import packing
+
+    return packing.fill(packing.packed(T(spark, d, "documents"), T(spark, d, "size_limits")))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     from lodestone.llm import languages
 

@@ -88,6 +88,20 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str
     return placed.select(*ROW_ID, "_key").join(ids, ROW_ID, "left").select(F.col("_key").alias(key), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
 
 
+def count(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
+    """``key, n_tokens, copies``: tokens of each distinct (key, text), and how many rows have it. Null and empty texts have 0."""
+    path = vocabulary_path(folder)
+    rows = docs.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text"))
+    table = encode_words(rows.select(F.explode(words(F.col("_text"))).alias("word")).distinct(), path).select("word", F.size("ids").alias("n"))
+    # words are counted in each text first, so a text meets the table once for each of its distinct words
+    placed = with_row_id(rows, "_text").repartition(parallelism(docs.sparkSession), *ROW_ID)
+    one = placed.groupBy(*ROW_ID).agg(F.first("_key").alias("_key"), F.first("_text").alias("_text"), F.count("*").alias("copies"))
+    exploded = one.select(*ROW_ID, "_key", "copies", F.explode_outer(words(F.col("_text"))).alias("word"))
+    at = exploded.join(bounded_broadcast(table, BROADCAST_WORDS), "word", "left")
+    sums = at.groupBy(*ROW_ID).agg(F.first("_key").alias(key), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_tokens"), F.first("copies").alias("copies"))
+    return sums.drop(*ROW_ID)
+
+
 def pieces(spark: SparkSession, folder: str | None = None) -> DataFrame:
     """The vocabulary as ``id, piece`` with the bytes of each piece in hex."""
     data = [(i, b.hex()) for b, i in ranks(vocabulary_path(folder)).items()]
