@@ -33,6 +33,12 @@ def p3_defects(spark: SparkSession, d: str) -> DataFrame:
     return answers.defects(T(spark, d, "chat_messages"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import neighbours
+
+    return neighbours.found(T(spark, d, "chat_messages"), T(spark, d, "sentence_vectors"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     from lodestone.llm import conversations
 
