@@ -21,6 +21,18 @@ def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     return chunking.pieces(T(spark, d, "chat_messages"), T(spark, d, "size_limits"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import pii
+
+    return pii.found(T(spark, d, "chat_messages"))
+
+
+def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
+    from lodestone.llm import pii
+
+    return pii.redacted(T(spark, d, "chat_messages"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     from lodestone.llm import answers
 
