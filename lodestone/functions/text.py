@@ -6,6 +6,7 @@ import math
 import re
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,8 +85,6 @@ STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment
 
 
 def _stem_udf():
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda ws: None if ws is None else [stem(w) for w in ws])

@@ -7,11 +7,13 @@ import warnings
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Up to so many dimensions a dot product is unrolled into one generated expression; beyond, a higher-order function is used.
-UNROLL = 256
+#: Up to so many dimensions a product is unrolled into one generated expression; more would pass the 64 KB that a Java method
+#: may have, so beyond a higher-order function is used.
+UNROLL = 16
 
 
 def _terms(c: Column, v: list[float], term) -> Column:
@@ -118,8 +120,6 @@ def datatype_of(n_bytes: int, dims: int) -> list[str]:
 
 def convert(df: DataFrame, column: str, source: str, target: str) -> DataFrame:
     """Binary vectors of one element type to another, in Arrow batches; integers are scaled as in ``quantise``."""
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def run(s: pd.Series) -> pd.Series:
         def one(b):

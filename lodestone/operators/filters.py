@@ -198,6 +198,14 @@ class Phrase(Filter):
         return F.contains(joined, F.lit(f" {' '.join(words)} "))
 
 
+def _near(words: Column, word: str, edits: int) -> Column:
+    return F.exists(words, lambda t: F.levenshtein(t, F.lit(word), edits) >= 0)
+
+
+def _like(words: Column, pattern: str) -> Column:
+    return F.exists(words, lambda t: t.rlike(pattern))
+
+
 @dataclass(frozen=True)
 class Pattern(Filter):
     """``a b`` all, ``a|b`` any, ``a*`` prefix, ``*a`` suffix, ``%a%`` fuzzy (as many edits as leading percent signs)."""
@@ -218,10 +226,10 @@ class Pattern(Filter):
                 fuzzy = len(low) - len(low.lstrip("%"))
                 if fuzzy and low.endswith("%"):
                     core = low.strip("%")
-                    options.append(F.exists(raw, lambda t, c=core, n=fuzzy: F.levenshtein(t, F.lit(c), n) >= 0))
+                    options.append(_near(raw, core, fuzzy))
                 elif "*" in low:
                     pattern = "^" + re.escape(low).replace(r"\*", ".*") + "$"
-                    options.append(F.exists(raw, lambda t, p=pattern: t.rlike(p)))
+                    options.append(_like(raw, pattern))
                 else:
                     stemmed = ctx.tokens(self.name) if stemmed is None else stemmed
                     options.append(F.array_contains(stemmed, ctx.stems(self.name, X.tokenize(low) or [low])[0]))
