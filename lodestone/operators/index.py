@@ -28,6 +28,23 @@ class BulkResult:
     dry_run: bool = False
 
 
+def _frame(spark: SparkSession, records: list[dict[str, Any]], known: dict[str, T.StructField]) -> DataFrame:
+    """Records as a DataFrame, in the types of the table that they are to join where it has their columns."""
+    names = list(dict.fromkeys(k for r in records for k in r))
+    if not known or not set(names) <= set(known):
+        return spark.createDataFrame(records)
+
+    def fit(v: Any, kind: T.DataType) -> Any:
+        if isinstance(kind, (T.DoubleType, T.FloatType)) and isinstance(v, int) and not isinstance(v, bool):
+            return float(v)
+        if isinstance(kind, T.ArrayType) and isinstance(v, (list, tuple)):
+            return [fit(x, kind.elementType) for x in v]
+        return v
+
+    rows = [tuple(fit(r.get(n), known[n].dataType) for n in names) for r in records]
+    return spark.createDataFrame(rows, T.StructType([T.StructField(n, known[n].dataType) for n in names]))
+
+
 class SearchIndex:
     """Every change makes a new version of the frame; readers of an old one are not disturbed.
 
@@ -175,7 +192,7 @@ class SearchIndex:
                 if len(keys) != len(data):
                     raise ValueError("as many keys as records are needed")
                 data = [{**r, self.key: k} for r, k in zip(data, keys)]
-            data = spark.createDataFrame(data)
+            data = _frame(spark, data, {f.name: f for f in self._raw().schema.fields} if self._df is not None else {})
         new = data.transform(preprocess) if preprocess else data
         if self.key not in new.columns:
             ident = F.col(id_field) if id_field else F.expr("uuid()")

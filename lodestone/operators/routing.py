@@ -91,7 +91,8 @@ def route_table(queries: DataFrame, query_id: str, vector: str, references: Data
             order = np.argsort(total, axis=1, kind="stable")[:, :keep]
             value = np.take_along_axis(total, order, axis=1)
             i, j = np.nonzero(value < limit[order])
-            yield pd.DataFrame({"query_id": ids[i], "route_name": [names[r] for r in order[i, j]], "distance": value[i, j]})
+            if len(i):
+                yield pd.DataFrame({"query_id": ids[i], "route_name": [names[r] for r in order[i, j]], "distance": value[i, j]})
 
     schema = T.StructType([T.StructField("query_id", queries.schema[query_id].dataType), T.StructField("route_name", T.StringType()), T.StructField("distance", T.DoubleType())])
     rows_in = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vec")).where((F.size("vec") == dims) & ~F.exists("vec", lambda v: v.isNull()))

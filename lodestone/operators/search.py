@@ -391,7 +391,8 @@ def batch_knn(corpus: DataFrame, key: str, vector: str, queries: DataFrame, quer
                 # all that tie with the k-th are kept, so that the key decides among them at the end
                 edge = np.partition(d, m - 1, axis=1)[:, m - 1 : m] + 1e-12
                 i, j = np.nonzero(d <= (edge if threshold is None else np.minimum(edge, threshold)))
-                yield pd.DataFrame({"query_id": [ids[a] for a in i], "key": keys[j], "distance": d[i, j]})
+                if len(i):
+                    yield pd.DataFrame({"query_id": [ids[a] for a in i], "key": keys[j], "distance": d[i, j]})
 
         rows_in = corpus.select(F.col(key).alias("key"), F.col(vector).alias("vec")).where(F.col("vec").isNotNull() & (F.size("vec") == dims) & ~F.exists("vec", lambda v: v.isNull()))
         parts.append(rows_in.mapInPandas(run, out_type))
