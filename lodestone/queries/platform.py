@@ -7,6 +7,7 @@ import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.functions import udf as U
 from lodestone.functions import vectors as V
@@ -128,7 +129,7 @@ def quant_sql(low: int, mid: int) -> str:
     return f"SELECT vec_id, list_transform(embedding, lambda x: {x}) AS q FROM (SELECT vec_id, embedding, list_min(embedding)::DOUBLE AS lo, list_max(embedding)::DOUBLE AS hi FROM embeddings)"
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _pack(s: pd.Series) -> pd.Series:
     return s.map(lambda v: V.to_bytes(v, "float32"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import text as X
 from lodestone.functions import vectors as V
 from lodestone.operators import search as S
+from lodestone.operators.ann import CellIndex
 from lodestone.operators.filters import Num, Tag
 from lodestone.operators.index import SearchIndex
 from lodestone.queries.filtering import TOKENS, metres
@@ -43,6 +44,14 @@ def batch(spark, d):
     return out.select(F.col("query_id"), F.col("key").alias("vec_id"), "rank", F.round("distance", 6).alias("distance"))
 
 
+def cells(spark, d):
+    """Approximate neighbours of the same queries; these vectors hardly cluster, so 0.9 of the true ones takes most of the cells."""
+    e = table(spark, d, "embeddings")
+    index = CellIndex.build(e, "vec_id", "embedding", 64)
+    out = index.search(e.where(F.col("vec_id") % 50 == 0), "vec_id", "embedding", 10, probes=max(1, round(0.65 * len(index.centres))))
+    return out.select("query_id", F.col("key").alias("vec_id"), "rank", F.round("distance", 6).alias("distance"))
+
+
 def text(spark, d, scorer="BM25STD", n=10, required=True, words="page cursor during the nightly run", **kw):
     q = S.TextQuery(text=words, fields="text", scorer=scorer, num_results=n, **kw)
     s = source(spark, d, "documents")
@@ -176,5 +185,6 @@ QUERIES = {
     "t5_bm25_norm": (lambda spark, d: text(spark, d, "BM25STD.NORM", n=2_000_000_000), f"WITH {bm25('documents', 'doc_id', 'text', TERMS)} SELECT k AS doc_id, round(score / max(score) OVER (), 6) AS score FROM scored WHERE hit"),
     "t6_stems": (stems, None),
     "t8_optional_text": (lambda spark, d: text(spark, d, required=False), f"WITH {bm25('documents', 'doc_id', 'text', TERMS)} SELECT doc_id, round(coalesce(score, 0), 6) AS score FROM documents LEFT JOIN scored ON k = doc_id"),
+    "q17_ann_cells": (cells, None),
     "q14_in_order": (lambda spark, d: text(spark, d, words="cursor nightly", in_order=True, n=2_000_000_000), f"WITH {bm25('documents', 'doc_id', 'text', ['cursor', 'nightly'])} SELECT k AS doc_id, round(score, 6) AS score FROM scored JOIN documents ON doc_id = k WHERE regexp_matches(' ' || array_to_string({TOKENS.format('text')}, ' ') || ' ', ' cursor (?:.* )?nightly ')"),
 }
