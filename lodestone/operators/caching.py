@@ -101,7 +101,7 @@ class SemanticCache:
         self.index.delete(drop=True)
 
 
-def langcache_similarity(distance: float, half: bool = False) -> float:
+def service_similarity(distance: float, half: bool = False) -> float:
     """The similarity threshold that a remote cache service takes for a cosine distance."""
     return (2.0 - distance) / 2.0 if half else 1.0 - distance
 
@@ -162,4 +162,4 @@ class EmbeddingsCache:
         return self.index.clear()
 
 
-__all__ = ["EXPIRES", "EmbeddingsCache", "SemanticCache", "cache_schema", "embedding_key", "entry_id", "entry_id_column", "langcache_similarity"]
+__all__ = ["EXPIRES", "EmbeddingsCache", "SemanticCache", "cache_schema", "embedding_key", "entry_id", "entry_id_column", "service_similarity"]

@@ -146,7 +146,7 @@ def test_semantic_cache(spark):
         C.cache_schema("c", 2, [{"name": "prompt", "type": "tag"}])
     with pytest.raises(ValueError):
         cache.set_threshold(3)
-    assert cache.drop([key]) == 1 and C.langcache_similarity(0.2) == 0.8 and C.langcache_similarity(0.2, True) == 0.9
+    assert cache.drop([key]) == 1 and C.service_similarity(0.2) == 0.8 and C.service_similarity(0.2, True) == 0.9
     cache.clear()
     assert cache.check([1.0, 0.0]) == []
 
