@@ -61,5 +61,5 @@ QUERIES = {
     "l25_double_quotes": (_s("events", 'SELECT event_id FROM events WHERE event_type = "click"'), "SELECT event_id FROM events WHERE event_type = 'click'"),
     "l_tag_like": (_s("users", "SELECT user FROM users WHERE credit_score LIKE 'l%' AND age IS NOT NULL"), f"SELECT \"user\" FROM users WHERE len(list_filter({TAGS.format('credit_score')}, lambda t: t LIKE 'l%')) > 0 AND age IS NOT NULL"),
     "a1_apply": (_s("lineitem", "SELECT l_returnflag, SUM(l_extendedprice * (1 - l_discount)) AS revenue FROM lineitem GROUP BY l_returnflag ORDER BY revenue DESC LIMIT 2", ("revenue",)), "SELECT l_returnflag, round(sum(l_extendedprice * (1 - l_discount)), 6) AS revenue FROM lineitem GROUP BY 1 ORDER BY 2 DESC LIMIT 2"),
-    "a5_post_filter": (lambda spark, d: SQLQuery("SELECT o_custkey, COUNT(*) AS n, AVG(o_totalprice) AS a FROM orders GROUP BY o_custkey").run(source(spark, d, "orders")).where("n >= 12").withColumn("a", F.round("a", 4)), "SELECT o_custkey, count(*) AS n, round(avg(o_totalprice), 4) AS a FROM orders GROUP BY 1 HAVING count(*) >= 12"),
+    "a5_post_filter": (lambda spark, d: SQLQuery("SELECT o_custkey, COUNT(*) AS n, SUM(o_totalprice) AS a FROM orders GROUP BY o_custkey").run(source(spark, d, "orders")).where("n >= 12").withColumn("a", F.round("a", 2)), "SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS a FROM orders GROUP BY 1 HAVING count(*) >= 12"),
 }
