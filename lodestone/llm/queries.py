@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestone.sources.tables import table as T
 
@@ -51,6 +52,15 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.found(T(spark, d, "chat_messages"), T(spark, d, "sentence_vectors"))
 
 
+def p4_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """Up to ten neighbours of each vector within the distance."""
+    from lodestone.llm import neighbours
+
+    parts = [("chat_messages", "entry_id", "vector_field"), ("sentence_vectors", "record_key", "embedding")]
+    a, b = (neighbours.nearest(T(spark, d, t), k, v).select(F.lit(t).alias("table_name"), "key", "neighbour", "distance", "nth") for t, k, v in parts)
+    return a.unionByName(b)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     from lodestone.llm import conversations
 
