@@ -58,9 +58,18 @@ class Context:
 
     def number(self, name: str) -> Column:
         kind = self.dtypes.get(name)
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            return F.unix_micros(F.col(name).cast("timestamp")) / F.lit(1e6)
-        return F.col(name) if isinstance(kind, T.NumericType) else F.col(name).try_cast("double")
+        if isinstance(kind, (T.NumericType, T.TimestampType, T.TimestampNTZType)):
+            return F.col(name)
+        return F.col(name).cast("timestamp_ntz") if isinstance(kind, T.DateType) else F.col(name).try_cast("double")
+
+    def bound(self, name: str, value: float) -> Column:
+        """A constant to compare ``number`` with: epoch seconds become a time where the column holds times, so that the
+        bare column stands in the comparison and the scan can use it."""
+        kind = self.dtypes.get(name)
+        if not isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return F.lit(value)
+        at = (dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=round(value * 1e6))).isoformat(sep=" ", timespec="microseconds")
+        return F.expr(f"TIMESTAMP '{at} UTC'" if isinstance(kind, T.TimestampType) else f"TIMESTAMP_NTZ '{at}'")
 
 
 class Filter:
@@ -174,11 +183,13 @@ class Between(Filter):
     def compile(self, ctx: Context) -> Column:
         c, out = ctx.number(self.name), F.lit(True)
         if self.low is not None and self.low == self.high and not self.low_open and not self.high_open:
-            return c == F.lit(self.low)
+            return c == ctx.bound(self.name, self.low)
         if self.low is not None:
-            out = c > F.lit(self.low) if self.low_open else c >= F.lit(self.low)
+            low = ctx.bound(self.name, self.low)
+            out = c > low if self.low_open else c >= low
         if self.high is not None:
-            upper = c < F.lit(self.high) if self.high_open else c <= F.lit(self.high)
+            high = ctx.bound(self.name, self.high)
+            upper = c < high if self.high_open else c <= high
             out = upper if self.low is None else out & upper
         return out
 

@@ -76,3 +76,16 @@ def test_json_language():
     for bad in ({}, {"and": []}, {"field": "no", "op": "eq", "value": 1}, {"field": "location", "op": "eq", "value": 1}, {"field": "age", "op": "like", "value": "x"}, {"field": "age", "op": "eq", "value": "x"}, {"field": "age", "op": "in", "value": []}, 5):
         with pytest.raises(FilterError):
             from_json(bad, s)
+
+
+def test_bounds_reach_the_scan(spark, tmp_path):
+    rows = [(k, dt.datetime(2024, 1, 1 + k, 12), dt.datetime(2024, 1, 1 + k, 12)) for k in range(9)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "n long, a timestamp, b timestamp_ntz").write.parquet(path)
+    df = spark.read.parquet(path)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    for f, n in ((Num("n") > 3, 5), (Timestamp("b") == "2024-01-03", 1), (Timestamp("b") > "2024-01-03", 6), (Timestamp("b").between("2024-01-02", "2024-01-04"), 3)):
+        got = df.where(f.column(None, kinds))
+        assert got.count() == n
+        assert "GreaterThan" in got._jdf.queryExecution().executedPlan().toString().split("PushedFilters:")[1]
+    assert df.where((Timestamp("a") >= "2024-01-05").column(None, kinds)).count() == 5
