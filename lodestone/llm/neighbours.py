@@ -1,6 +1,10 @@
 """Problem 4: the most similar vectors of every vector.
 
-Method: cross-polytope hashing. Pseudo-rotations made of Hadamard transforms with random signs turn each
+``nearest`` lists them at any distance, exactly: blocks of vectors are multiplied with one another, every block with
+every other, and each task leaves the best of its part. Nothing is left out, so the cost grows with the square of
+the number of distinct vectors.
+
+``mutual`` needs only pairs within a small distance. Method: cross-polytope hashing. Pseudo-rotations made of Hadamard transforms with random signs turn each
 unit vector; its code is the nearest signed axis, over several levels. Each table holds every vector under
 its code; a vector also probes the second-nearest axis of each level. Vectors that meet in a bucket are
 compared by 127 sign bits, and what is left is ranked by the exact distance.
@@ -36,6 +40,12 @@ SIGN_BITS = 127
 #: Candidate ids up to this number are sent to all executors to filter the scan of the vectors.
 BROADCAST_IDS = 1_000_000
 
+#: Vectors of a block of the exact search, and blocks that one task goes through for each of its own: with 64 floats each, 64 MB.
+BLOCK_ROWS = 32768
+TASK_BLOCKS = 8
+#: The part of two blocks that is multiplied at once.
+TILE = (512, 4096)
+
 #: ``place`` is table and code; ``subs`` the nearest and second axis of one more level; the least bit of ``s0`` marks the
 #: vector's own bucket, the other 127 bits of ``s0`` and ``s1`` are signs.
 BUCKETS = "place long, subs int, vid long, s0 long, s1 long"
@@ -223,14 +233,160 @@ def is_usable(vector: str, dims: int) -> Column:
     return (F.size(vector) == dims) & sound & F.forall(vector, lambda x: x.isNotNull())
 
 
-def nearest(df: DataFrame, key: str, vector: str, dims: int = 64, k: int = 10, max_distance: float = 0.09, tables: int | None = None) -> DataFrame:
-    """``key, neighbour, distance, nth``: up to ``k`` most similar other keys of every key, within ``max_distance``.
+BLOCKS = "block long, ids binary, numbers binary"
+RANKED = "id long, near array<struct<distance: double, id: long>>"
+
+
+def _blocks(dims: int):
+    """Rows of id and vector as blocks of plain numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def block() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            ids, numbers = rows.column(0).to_numpy(), rows.column(1).combine_chunks().flatten().to_numpy()
+            cells = [pa.array([int(ids[0])]), *(pa.array([x.tobytes()], pa.binary()) for x in (ids, numbers))]
+            return pa.RecordBatch.from_arrays(cells, names=["block", "ids", "numbers"])
+
+        for batch in batches:
+            batch = batch.take(pa.array(usable(batch, 1, dims)[0]))
+            while batch.num_rows:
+                room = BLOCK_ROWS - sum(b.num_rows for b in held)
+                held.append(batch.slice(0, room))
+                batch = batch.slice(room)
+                if sum(b.num_rows for b in held) == BLOCK_ROWS:
+                    yield block()
+                    held = []
+        if held:
+            yield block()
+
+    return run
+
+
+class _Best:
+    """The ``depth`` nearest so far of each vector of a block, by distance and then id."""
+
+    def __init__(self, block: tuple[np.ndarray, np.ndarray], depth: int) -> None:
+        self.ids, self.unit = block
+        self.single = self.unit.astype("float32")
+        self.depth = depth
+        self.distance = np.full((len(self.ids), depth), np.inf)
+        self.near = np.zeros((len(self.ids), depth), "int64")
+        # products of single precision differ from exact ones by less than this
+        self.slack = np.float32((self.unit.shape[1] + 8) * 2.0**-23)
+
+    def offer(self, other: tuple[np.ndarray, np.ndarray]) -> None:
+        ids, unit = other
+        single = unit.astype("float32")
+        for a in range(0, len(self.ids), TILE[0]):
+            for b in range(0, len(ids), TILE[1]):
+                score = self.single[a : a + TILE[0]] @ single[b : b + TILE[1]].T
+                bar = (1.0 - self.distance[a : a + TILE[0], -1]).astype("float32") - self.slack
+                if np.isinf(bar).any() and score.shape[1] > self.depth + 1:
+                    # the vector itself may be among them
+                    bar = np.maximum(bar, np.partition(score, -self.depth - 1, axis=1)[:, -self.depth - 1] - 2 * self.slack)
+                x, y = np.divmod(np.flatnonzero(score >= bar[:, None]), score.shape[1])
+                x, y = x + a, y + b
+                other_one = self.ids[x] != ids[y]
+                x, y = x[other_one], y[other_one]
+                if len(x):
+                    self._merge(x, np.maximum(1.0 - np.einsum("ij,ij->i", self.unit[x], unit[y]), 0.0), ids[y])
+
+    def _merge(self, x: np.ndarray, distance: np.ndarray, ids: np.ndarray) -> None:
+        rows = np.unique(x)
+        x = np.concatenate([x, np.repeat(rows, self.depth)])
+        distance = np.concatenate([distance, self.distance[rows].ravel()])
+        ids = np.concatenate([ids, self.near[rows].ravel()])
+        order = np.lexsort((ids, distance, x))
+        nth = np.arange(len(x)) - np.searchsorted(x[order], x[order])
+        order, nth = order[nth < self.depth], nth[nth < self.depth]
+        self.distance[x[order], nth] = distance[order]
+        self.near[x[order], nth] = ids[order]
+
+    def result(self) -> pa.RecordBatch:
+        real = np.isfinite(self.distance)
+        offsets = pa.array(np.concatenate([[0], real.sum(axis=1).cumsum()]).astype("int32"))
+        cells = pa.StructArray.from_arrays([pa.array(self.distance[real]), pa.array(self.near[real])], names=["distance", "id"])
+        return pa.RecordBatch.from_arrays([pa.array(self.ids), pa.ListArray.from_arrays(offsets, cells)], names=["id", "near"])
+
+
+def _every_pair(dims: int, depth: int, kind: str):
+    def read(batch: pa.RecordBatch, row: int, first: int) -> tuple[np.ndarray, np.ndarray]:
+        ids, numbers = (np.frombuffer(batch.column(first + i)[row].as_buffer(), t) for i, t in enumerate(("int64", kind)))
+        x = numbers.reshape(-1, dims).astype("float64")
+        return ids, x / np.sqrt((x**2).sum(axis=1))[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, best = None, None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = batch.column(0)[row].as_py()
+                if best is None or block != open_:
+                    if best is not None:
+                        yield best.result()
+                    open_, best = block, _Best(read(batch, row, 1), depth)
+                best.offer(read(batch, row, 4))
+        if best is not None:
+            yield best.result()
+
+    return run
+
+
+def ranked(vectors: DataFrame, dims: int, depth: int) -> DataFrame:
+    """``id, near``: the ``depth`` nearest other vectors of each, by distance and then id. ``vectors``: id, vec."""
+    kind = "float64" if vectors.schema["vec"].dataType.elementType.typeName() == "double" else "float32"
+    blocks = stage_table(vectors.mapInArrow(_blocks(dims), BLOCKS))
+    parts = -(-blocks.count() // TASK_BLOCKS)
+    other = blocks.select(*(F.col(c).alias(f"{c}_b") for c in blocks.columns)).coalesce(max(1, parts))
+    best = blocks.crossJoin(other).mapInArrow(_every_pair(dims, depth, kind), RANKED)
+    return best.groupBy("id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, depth).alias("near"))
+
+
+def _each_once(pairs: Column) -> Column:
+    """Of sorted (distance, key) the first of each key."""
+    keys = F.transform(pairs, lambda p: p["key"])
+    return F.filter(pairs, lambda p, i: F.array_position(keys, p["key"]) == i + 1)
+
+
+def nearest(df: DataFrame, key: str, vector: str, dims: int = 64, k: int = 10) -> DataFrame:
+    """``key, neighbour, distance, nth``: the ``k`` most similar other keys of every key, at any distance; exact.
 
     Equal distances are ordered by key. Null keys, and vectors that are null, of another length, all zero or
     hold NaN, infinite or null numbers are left out; a repeated row counts once, and of a key with several vectors the
     nearest counts. Copies of one vector are at distance 0. Other columns are ignored; an empty table
     gives no rows.
     """
+    base = df.select(F.col(key).alias("key"), F.col(vector).alias("vec")).where(F.col("key").isNotNull() & is_usable("vec", dims))
+    base = base.withColumn("vid", F.xxhash64("vec"))
+    keyed = base.select("vid", "key")
+    # a key with several vectors takes as many places in a list
+    several = keyed.groupBy("key").agg(F.count_distinct("vid").alias("n")).agg(F.max("n")).head()[0] or 1
+    # the k + 1 least keys of each vector: no copy beyond them is among the k most similar of anything
+    least = keyed.withColumn("nth", F.dense_rank().over(Window.partitionBy("vid").orderBy("key"))).where(F.col("nth") <= k + 1)
+    groups = least.groupBy("vid").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    # ids in the order of the least key, which decides between vectors at equal distances
+    groups = groups.withColumn("first", F.col("keys")[0]).repartitionByRange(parallelism(df.sparkSession), "first").sortWithinPartitions("first")
+    groups = stage_table(groups.select(F.monotonically_increasing_id().alias("id"), "vid", "keys"))
+    vectors = base.select("vid", "vec").dropDuplicates(["vid"]).join(groups.select("vid", "id"), "vid").select("id", "vec")
+    near = ranked(vectors, dims, (k + 1) * several - 1)
+    arcs = near.select("id", F.explode("near").alias("n")).select("id", F.col("n.id").alias("other"), F.col("n.distance").alias("distance"))
+    offered = arcs.join(groups.select(F.col("id").alias("other"), F.slice("keys", 1, k).alias("keys")), "other").select("id", "distance", "keys", F.lit(None).cast("long").alias("vid"))
+    offered = offered.unionByName(groups.select("id", F.lit(0.0).alias("distance"), "keys", "vid"))
+    offered = offered.withColumn("pairs", F.transform("keys", lambda y: F.struct("distance", y.alias("key"))))
+    own = F.first(F.when(F.col("vid").isNotNull(), F.col("keys")), ignorenulls=True)
+    lists = offered.groupBy("id").agg(F.max("vid").alias("vid"), own.alias("keys"), F.array_sort(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    lists = lists.withColumn("pairs", F.slice(_each_once(F.col("pairs")) if several > 1 else F.col("pairs"), 1, k + 1))
+    each = lists.select(F.explode("keys").alias("key"), "pairs")
+    if several > 1:
+        each = each.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("pairs"))).alias("pairs")).withColumn("pairs", _each_once(F.col("pairs")))
+    others = F.slice(F.filter("pairs", lambda p: p["key"] != F.col("key")), 1, k)
+    return each.select("key", F.posexplode(others).alias("at", "p")).select("key", F.col("p.key").alias("neighbour"), F.col("p.distance").alias("distance"), (F.col("at") + 1).alias("nth"))
+
+
+def close(df: DataFrame, key: str, vector: str, dims: int = 64, k: int = 10, max_distance: float = 0.09, tables: int | None = None) -> DataFrame:
+    """As ``nearest``, by hashing, of what lies within ``max_distance``: for ``mutual``, so of equal vectors only
+    the ``k + 1`` least keys have rows; no other copy is in a mutual pair."""
     rows = df.count()
     base = df.select(F.col(key).alias("key"), F.col(vector).alias("vec")).where(F.col("key").isNotNull() & (F.size("vec") == dims))
     base = base.withColumn("vid", F.xxhash64("vec"))
@@ -255,8 +411,8 @@ def nearest(df: DataFrame, key: str, vector: str, dims: int = 64, k: int = 10, m
 
 
 def mutual(df: DataFrame, key: str, vector: str, dims: int = 64, k: int = 10, max_distance: float = 0.09, tables: int | None = None) -> DataFrame:
-    """``key_a, key_b, distance`` of keys that are among the ``k`` most similar of each other; else as ``nearest``."""
-    best = nearest(df, key, vector, dims, k, max_distance, tables)
+    """``key_a, key_b, distance`` of keys within ``max_distance`` that are among the ``k`` most similar of each other; else as ``nearest``."""
+    best = close(df, key, vector, dims, k, max_distance, tables)
     both = best.groupBy(F.least("key", "neighbour").alias("key_a"), F.greatest("key", "neighbour").alias("key_b")).agg(F.count("*").alias("n"), F.min("distance").alias("distance"))
     return both.where(F.col("n") == 2).select("key_a", "key_b", "distance")
 

@@ -53,7 +53,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_nearest(spark: SparkSession, d: str) -> DataFrame:
-    """Up to ten neighbours of each vector within the distance."""
+    """The ten most similar others of each vector."""
     from lodestone.llm import neighbours
 
     parts = [("chat_messages", "entry_id", "vector_field"), ("sentence_vectors", "record_key", "embedding")]

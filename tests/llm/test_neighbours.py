@@ -54,3 +54,49 @@ def test_rotation_keeps_lengths_and_levels_follow_size():
     r = neighbours.rotation(64, 3)
     assert np.allclose(r @ r.T, np.eye(64), atol=1e-5)
     assert neighbours.levels(10, 64) == [1] and neighbours.levels(10**6, 64)[0] == 64 and len(neighbours.levels(10**9, 64)) > 2
+
+
+def exact(rows, k, dims):
+    """The k nearest other keys of each key and their distances; of a key with several vectors the nearest counts."""
+    good = {(key, tuple(np.array(v, "float32").astype("float64"))) for key, v in rows if key is not None and v is not None and len(v) == dims and all(x is not None and np.isfinite(x) for x in v) and any(v)}
+    keys, x = [g[0] for g in sorted(good)], np.array([g[1] for g in sorted(good)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    d = np.maximum(1 - x @ x.T, 0).round(9)
+    out = {}
+    for key in set(keys):
+        best = {}
+        for i in np.flatnonzero(np.array(keys) == key):
+            for j, other in enumerate(keys):
+                if other != key:
+                    best[other] = min(best.get(other, 9.0), d[i, j])
+        out[key] = sorted((dist, other) for other, dist in best.items())[:k]
+    return out
+
+
+def lists(df):
+    got = {}
+    for r in df.orderBy("key", "nth").collect():
+        got.setdefault(r.key, []).append((round(r.distance, 9), r.neighbour))
+        assert r.nth == len(got[r.key])
+    return got
+
+
+def test_nearest_lists_ten_at_any_distance(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(neighbours, "TASK_BLOCKS", 2)
+    monkeypatch.setattr(neighbours, "TILE", (16, 32))
+    rng = np.random.default_rng(8)
+    rows = [(f"k{i:03d}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(400, 16)).astype("float32"))]
+    rows += [(f"c{i}", rows[0][1]) for i in range(4)] + [(f"s{i}", [x * 2.0**i for x in rows[1][1]]) for i in range(1, 14)] + [rows[7]] * 3
+    rows += [("n1", None), ("n2", [0.0] * 16), ("n3", [float("nan")] * 16), ("n4", [1.0] * 15), ("n5", [None] + [1.0] * 15), (None, rows[1][1])]
+    df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+    assert lists(neighbours.nearest(df, "key", "vec", dims=16)) == exact(rows, 10, 16)
+    assert neighbours.nearest(df.limit(0), "key", "vec", dims=16).count() == 0
+    assert neighbours.nearest(df.where("key = 'k005'"), "key", "vec", dims=16).count() == 0
+
+
+def test_nearest_of_keys_with_several_vectors(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"k{i % 40:02d}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(100, 16)).astype("float32"))]
+    df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+    assert lists(neighbours.nearest(df, "key", "vec", dims=16)) == exact(rows, 10, 16)
