@@ -10,7 +10,8 @@ its code; a vector also probes the second-nearest axis of each level. Vectors th
 compared by 127 sign bits, and what is left is ranked by the exact distance.
 
 Only codes and sign bits are shuffled. Vectors that are equal bit for bit are one entry of the index with at
-most ``k + 1`` keys, which loses nothing: the ten most similar of any copy are copies of least key.
+most ``k + 1`` keys, which loses nothing: the ten most similar of any copy are copies of least key. In ``nearest``
+every copy has a list, that of its vector.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ SLACK_BITS = 24
 SIGN_BITS = 127
 #: Candidate ids up to this number are sent to all executors to filter the scan of the vectors.
 BROADCAST_IDS = 1_000_000
+#: Lists of large groups of copies up to this number are sent to all executors.
+BROADCAST_LISTS = 50_000
 
 #: Vectors of a block of the exact search, and blocks that one task goes through for each of its own: with 64 floats each, 64 MB.
 BLOCK_ROWS = 32768
@@ -377,7 +380,15 @@ def nearest(df: DataFrame, key: str, vector: str, dims: int = 64, k: int = 10) -
     own = F.first(F.when(F.col("vid").isNotNull(), F.col("keys")), ignorenulls=True)
     lists = offered.groupBy("id").agg(F.max("vid").alias("vid"), own.alias("keys"), F.array_sort(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     lists = lists.withColumn("pairs", F.slice(_each_once(F.col("pairs")) if several > 1 else F.col("pairs"), 1, k + 1))
-    each = lists.select(F.explode("keys").alias("key"), "pairs")
+    large = groups.where(F.size("keys") > k).select("vid", F.col("keys")[k].alias("last"))
+    if large.isEmpty():
+        each = lists.select(F.explode("keys").alias("key"), "pairs")
+    else:
+        # the keys beyond the k + 1 least are nobody's neighbours, but have the list of their vector as well
+        lists = stage_table(lists)
+        beyond = keyed.join(bounded_broadcast(large, BROADCAST_IDS), "vid").where(F.col("key") > F.col("last")).select("vid", "key").distinct()
+        shared = bounded_broadcast(lists.join(large.select("vid"), "vid", "left_semi").select("vid", "pairs"), BROADCAST_LISTS)
+        each = lists.select(F.explode("keys").alias("key"), "pairs").unionByName(beyond.join(shared, "vid").select("key", "pairs"))
     if several > 1:
         each = each.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("pairs"))).alias("pairs")).withColumn("pairs", _each_once(F.col("pairs")))
     others = F.slice(F.filter("pairs", lambda p: p["key"] != F.col("key")), 1, k)

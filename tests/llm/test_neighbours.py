@@ -100,3 +100,15 @@ def test_nearest_of_keys_with_several_vectors(spark):
     rows = [(f"k{i % 40:02d}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(100, 16)).astype("float32"))]
     df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
     assert lists(neighbours.nearest(df, "key", "vec", dims=16)) == exact(rows, 10, 16)
+
+
+def test_every_copy_has_its_list(spark):
+    rng = np.random.default_rng(10)
+    rows = [(f"k{i:03d}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(60, 16)).astype("float32"))]
+    rows += [(f"c{i:02d}", rows[0][1]) for i in range(30)] * 2
+    df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+    got = lists(neighbours.nearest(df, "key", "vec", dims=16))
+    assert got == exact(rows, 10, 16) and len(got["c29"]) == 10
+    rows += [("c29", rows[5][1]), ("c28", rows[6][1])] + [(f"a{i:02d}", rows[6][1]) for i in range(12)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+    assert lists(neighbours.nearest(df, "key", "vec", dims=16)) == exact(rows, 10, 16)
