@@ -25,6 +25,8 @@ from lodestone.schema import IndexSchema
 
 #: A batch search sends its query vectors to every task; beyond this size it is split into rounds.
 BATCH_QUERIES = 4096
+#: Queries of a round that are multiplied with an Arrow batch at once: 20 MB of products with 10,000 rows.
+TILE_QUERIES = 256
 
 
 @dataclass
@@ -380,19 +382,21 @@ def batch_knn(corpus: DataFrame, key: str, vector: str, queries: DataFrame, quer
                 x, own, keys = x[fine], own[fine], batch["key"].to_numpy()[fine]
                 if not len(x) or not len(q):
                     continue
-                dots = q @ x.T
-                if metric == "cosine":
-                    d = 1.0 - dots / (norm[:, None] * own[None, :])
-                elif metric == "ip":
-                    d = 1.0 - dots
-                else:
-                    d = np.sqrt(np.maximum(norm[:, None] ** 2 + own[None, :] ** 2 - 2 * dots, 0))
-                m = min(k, len(x))
-                # all that tie with the k-th are kept, so that the key decides among them at the end
-                edge = np.partition(d, m - 1, axis=1)[:, m - 1 : m] + 1e-12
-                i, j = np.nonzero(d <= (edge if threshold is None else np.minimum(edge, threshold)))
-                if len(i):
-                    yield pd.DataFrame({"query_id": [ids[a] for a in i], "key": keys[j], "distance": d[i, j]})
+                for at in range(0, len(q), TILE_QUERIES):
+                    some = slice(at, at + TILE_QUERIES)
+                    dots = q[some] @ x.T
+                    if metric == "cosine":
+                        d = 1.0 - dots / (norm[some, None] * own[None, :])
+                    elif metric == "ip":
+                        d = 1.0 - dots
+                    else:
+                        d = np.sqrt(np.maximum(norm[some, None] ** 2 + own[None, :] ** 2 - 2 * dots, 0))
+                    m = min(k, len(x))
+                    # all that tie with the k-th are kept, so that the key decides among them at the end
+                    edge = np.partition(d, m - 1, axis=1)[:, m - 1 : m] + 1e-12
+                    i, j = np.nonzero(d <= (edge if threshold is None else np.minimum(edge, threshold)))
+                    if len(i):
+                        yield pd.DataFrame({"query_id": [ids[at + c] for c in i], "key": keys[j], "distance": d[i, j]})
 
         rows_in = corpus.select(F.col(key).alias("key"), F.col(vector).alias("vec")).where(F.col("vec").isNotNull() & (F.size("vec") == dims) & ~F.exists("vec", lambda v: v.isNull()))
         parts.append(rows_in.mapInPandas(run, out_type))

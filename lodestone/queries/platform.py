@@ -80,11 +80,11 @@ def validated(spark, d):
 
 
 def cache_check(spark, d):
-    """Each cached prompt against the whole cache: the nearest other entries within the threshold."""
+    """Each cached prompt, and three vectors from elsewhere, against the whole cache: the nearest entries within the threshold, its own first."""
     c = table(spark, d, "llm_cache").groupBy("entry_id").agg(F.min("prompt").alias("prompt"), F.min("response").alias("response"), F.min("prompt_vector").alias("prompt_vector"), F.min("inserted_at").alias("inserted_at"), F.min("updated_at").alias("updated_at"))
     c = c.where((F.size("prompt_vector") == 64))
     cache = C.SemanticCache(SearchIndex(C.cache_schema("cache", 64), c, "entry_id"), 0.3)
-    asked = spark.createDataFrame([(k, query_vector(spark, d, k)) for k in range(3)], "q int, v array<float>").unionByName(c.orderBy("entry_id").limit(20).select(F.hash("entry_id").alias("q"), F.col("prompt_vector").alias("v")))
+    asked = spark.createDataFrame([(k, query_vector(spark, d, k)) for k in range(3)], "q long, v array<float>").unionByName(c.select(F.xxhash64("entry_id").alias("q"), F.col("prompt_vector").alias("v")))
     out = cache.check_batch(asked, "q", "v", 5)
     return out.select("query_id", "key", "rank", F.round("distance", 6).alias("distance"))
 

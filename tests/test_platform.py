@@ -260,3 +260,16 @@ def test_streaming_upsert_and_windows(spark, tmp_path):
     w.awaitTermination(60)
     assert sorted((r.user, r.n) for r in spark.table("w1").collect()) == [("john", 2), ("zed", 1)]
     assert time.time() > 0
+
+
+def test_cache_check_asks_with_every_entry(spark, tmp_path):
+    from lodestone.queries.platform import cache_check
+
+    rng = np.random.default_rng(3)
+    vec = lambda: [float(x) for x in rng.normal(size=64)]
+    rows = [(f"e{i:02d}", f"p{i}", "r", vec(), 1.0, 1.0) for i in range(60)]
+    spark.createDataFrame(rows, "entry_id string, prompt string, response string, prompt_vector array<float>, inserted_at double, updated_at double").write.parquet(str(tmp_path / "llm_cache.parquet"))
+    spark.createDataFrame([(i, vec()) for i in range(3)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = cache_check(spark, str(tmp_path))
+    own = spark.createDataFrame(rows).selectExpr("_1 AS key", "xxhash64(_1) AS query_id")
+    assert own.join(got.where("rank = 1 AND distance = 0"), ["key", "query_id"]).count() == 60
