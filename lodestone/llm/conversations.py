@@ -29,8 +29,6 @@ WINDOW = 8
 DECAY_S = 600.0
 #: Weights of time, lexical overlap and mention.
 WEIGHTS = (1.0, 0.8, 2.0)
-#: Words of each message kept for lexical overlap: those of least hash, a uniform sample of its vocabulary.
-SKETCH = 8
 
 LINKED = (
     "entry_id string, session_tag string, position long, role string, t double, rank int, seen boolean, "
@@ -42,13 +40,15 @@ SUMMARY = (
 )
 
 
-def sketch(content: Column) -> Column:
+def word_hashes(content: Column) -> Column:
+    """Every distinct word of four letters or more, as its hash."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(content), F.lit(r"(\p{L}{4,})"), 1))
-    return F.slice(F.array_sort(F.transform(words, lambda w: F.hash(w))), 1, SKETCH)
+    return F.transform(words, lambda w: F.hash(w))
 
 
-def prepared(chat: DataFrame) -> DataFrame:
-    """One small row for each message of a conversation; contents stay behind."""
+def prepared(chat: DataFrame, words: bool = True) -> DataFrame:
+    """One row for each message of a conversation, with the hashes of its words; contents stay behind."""
+    none = F.array().cast("array<int>")
     rows = chat.select(
         "entry_id",
         M.clean_role(F.col("role")).alias("role"),
@@ -56,7 +56,7 @@ def prepared(chat: DataFrame) -> DataFrame:
         M.clean_time(F.col("timestamp"), F.col("entry_id")).alias("t"),
         M.visible(F.col("content")).alias("seen"),
         "tool_call_id",
-        F.coalesce(sketch(F.col("content")), F.array().cast("array<int>")).alias("words"),
+        (F.coalesce(word_hashes(F.col("content")), none) if words else none).alias("words"),
         "ingested_at",
     ).where(F.col("session_tag").isNotNull())
     one = M.one_per_entry(rows, ["session_tag", "t", "seen", "tool_call_id", "words"])
@@ -69,11 +69,8 @@ def _link(rows: pd.DataFrame, n: int, position: np.ndarray) -> pd.DataFrame:
     t, call, key = rows["t"].to_numpy("float64"), rows["tool_call_id"].to_numpy(), rows["entry_id"].to_numpy()
     user, reply = role == "user", (role == "assistant") | (role == "tool")
     source = user | (role == "tool")
-    words = np.zeros((size, SKETCH), "int64")
-    for i, w in enumerate(rows["words"]):
-        words[i, : len(w)] = w
-    has = words != 0
-    n_words = has.sum(axis=1)
+    words = [frozenset(w.tolist() if isinstance(w, np.ndarray) else w) for w in rows["words"]]
+    n_words = np.array([len(w) for w in words])
     best, parent = np.full(size, -1.0), np.full(size, -1)
     a, b, c = WEIGHTS
     for lag in range(1, min(WINDOW, size - 1) + 1):
@@ -84,8 +81,7 @@ def _link(rows: pd.DataFrame, n: int, position: np.ndarray) -> pd.DataFrame:
         if not len(i):
             continue
         gap = np.abs(t[i] - t[j])
-        same = (words[i][:, :, None] == words[j][:, None, :]) & has[i][:, :, None]
-        shared = same.any(axis=2).sum(axis=1) / np.maximum(1, np.minimum(n_words[i], n_words[j]))
+        shared = np.array([len(words[x] & words[y]) for x, y in zip(i, j)]) / np.maximum(1, np.minimum(n_words[i], n_words[j]))
         mention = np.array([x is not None and x == y for x, y in zip(call[i], call[j])], bool)
         score = a * np.exp(-np.nan_to_num(gap, nan=DECAY_S) / DECAY_S) + b * shared + c * mention
         better = score > best[i]
@@ -175,7 +171,7 @@ class Conversations:
         return self.messages.join(self.dropped.select("session_tag"), "session_tag", "left_anti")
 
 
-def rebuild(chat: DataFrame) -> Conversations:
+def rebuild(chat: DataFrame, words: bool = True) -> Conversations:
     """Ordered conversations with clean roles, and the reasons to drop those that are empty, broken or lack a reply.
 
     Input: entry_id, role, content, session_tag, timestamp, tool_call_id, ingested_at; other columns are
@@ -183,14 +179,14 @@ def rebuild(chat: DataFrame) -> Conversations:
     conversation. Messages are ordered by time, then system, user, tool, assistant, no role, then entry_id;
     messages that have no time at all come first. Null and invisible contents are blank. A tool message
     without tool_call_id is on no assistant message, so it breaks its conversation. An empty table gives
-    empty results.
+    empty results. ``words`` is false where only the verdicts are wanted, which no link bears on.
     """
-    scan = OrderedScan(prepared(chat), "session_tag", ["t", "rank", "entry_id"], tail=WINDOW + 1)
+    scan = OrderedScan(prepared(chat, words), "session_tag", ["t", "rank", "entry_id"], tail=WINDOW + 1)
     linked = scan.map(_link, LINKED)
     tools = scan.rows.where(F.col("role") == "tool").select("session_tag", F.coalesce("tool_call_id", F.lit("")).alias("call")).distinct()
     calls = scan.rows.where((F.col("role") == "assistant") & F.col("tool_call_id").isNotNull()).select("session_tag", F.col("tool_call_id").alias("call"))
     orphans = tools.join(calls, ["session_tag", "call"], "left_anti").select("session_tag").distinct().withColumn("orphan", F.lit(True))
-    state = _folded(linked.select("session_tag", "role", "seen").mapInPandas(_summaries, SUMMARY))
+    state = _folded(scan.rows.select("session_tag", "role", "seen").mapInPandas(_summaries, SUMMARY))
     reason = (
         F.when(~F.col("any_seen"), "empty")
         .when((F.col("first_role") == "assistant") | F.col("no_role") | F.coalesce("orphan", F.lit(False)), "broken")
@@ -201,4 +197,4 @@ def rebuild(chat: DataFrame) -> Conversations:
 
 
 def found(chat: DataFrame) -> DataFrame:
-    return rebuild(chat).dropped
+    return rebuild(chat, words=False).dropped

@@ -70,3 +70,14 @@ def test_reply_prefers_the_prompt_it_speaks_of(spark):
     ]
     got = {r.entry_id: r.parent_id for r in conversations.rebuild(frame(spark, rows)).messages.collect()}
     assert got == {"1": None, "2": None, "3": "1", "4": "2"}
+
+
+def test_a_long_reply_is_compared_by_all_its_words(spark):
+    filler = [f"filler{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    rows = [
+        ("1", "user", "how does vector quantisation behave", "x", 1.0), ("2", "user", "when will shipping addresses update", "x", 2.0),
+        ("3", "assistant", " ".join(["vector quantisation does behave", *filler]), "x", 3.0),
+        ("4", "assistant", " ".join(["it is on sundays that shipping addresses update", *filler]), "x", 4.0), ("5", "user", "thanks then", "x", 3.5),
+    ]
+    got = {r.entry_id: r.parent_id for r in conversations.rebuild(frame(spark, rows)).messages.collect()}
+    assert got == {"1": None, "2": None, "3": "1", "4": "2", "5": None}
