@@ -71,7 +71,7 @@ def pack(sizes: np.ndarray, capacities: list[int]) -> dict[int, Bins]:
     return out
 
 
-def _shard(capacities: list[int], step: int):
+def _shard(capacities: list[int], step: int, shards: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         shard, only = key
         rows = rows.sort_values(["n_tokens", "doc_id", "piece_no", "copy_no"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
@@ -87,7 +87,7 @@ def _shard(capacities: list[int], step: int):
                 start = 0
                 for i in items:
                     n = int(rows["n_tokens"][i])
-                    out.append((capacity, f"{capacity}-{shard}-{b}", group[b], rows["doc_id"][i], rows["piece_no"][i], rows["token_start"][i], n, start))
+                    out.append((capacity, f"{capacity}-{shard}-{b}", group[b] * shards + shard, rows["doc_id"][i], rows["piece_no"][i], rows["token_start"][i], n, start))
                     start += n
         return pd.DataFrame(out, columns=[x.split()[0] for x in PLACED.split(", ")])
 
@@ -101,6 +101,9 @@ def packed(docs: DataFrame, limits: DataFrame, each: bool = False, folder: str |
     one packing; with ``each`` the whole corpus is packed once for each capacity alone. Null and empty texts
     have size 0 and lie in a container of the least capacity. A repeated row is placed again for each repetition; a null
     doc_id is kept. Without capacities the result is an error; without texts it is empty.
+
+    A step group holds at most ``step`` containers of one capacity and one shard, and load is evened out over the groups
+    of a shard; ids of groups are unique over shards, with gaps.
     """
     found = limits.where(F.col("scope").startswith("documents.") & F.col("max_size").isNotNull()).select("max_size").distinct().limit(1001).collect()
     caps = sorted(int(r[0]) for r in found)
@@ -118,7 +121,7 @@ def packed(docs: DataFrame, limits: DataFrame, each: bool = False, folder: str |
     total = sizes.agg(F.sum("n_tokens"), F.count("*")).first()
     shards = max(1, math.ceil((total[0] or 0) / SHARD_TOKENS), math.ceil((total[1] or 0) / SHARD_ROWS))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece_no", "copy_no", "n_tokens"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard", "only").applyInPandas(_shard(caps, step), PLACED)
+    return dealt.groupBy("shard", "only").applyInPandas(_shard(caps, step, shards), PLACED)
 
 
 def fill(placed: DataFrame) -> DataFrame:

@@ -51,3 +51,16 @@ def test_packed(spark):
     assert packing.packed(docs.limit(0), limits).count() == 0
     with pytest.raises(ValueError):
         packing.packed(docs, limits.limit(0))
+
+
+def test_step_groups_of_several_shards_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 50)
+    docs = spark.createDataFrame([(i, "some plain words of text " * (1 + i % 5)) for i in range(400)], "doc_id long, text string")
+    limits = spark.createDataFrame([("documents.a", 20), ("documents.b", 40)], "scope string, max_size int")
+    rows = packing.packed(docs, limits, step=4).collect()
+    shards, groups = set(), {}
+    for r in rows:
+        shards.add(r.container.split("-")[1])
+        groups.setdefault((r.capacity, r.step_group), set()).add(r.container)
+    assert len(shards) > 1 and max(len(g) for g in groups.values()) <= 4
+    assert all(len({c.split("-")[1] for c in g}) == 1 for g in groups.values())
