@@ -16,16 +16,16 @@ from lodestone.operators.filters import Num, Tag
 from lodestone.operators.index import SearchIndex
 from lodestone.operators.tools import ToolConfig, ToolServer
 from lodestone.schema import Field, IndexSchema, SchemaError
-from tests.fixtures import SCHEMA, products, users
+from tests.fixtures import SCHEMA, crew, tools
 
 
 def test_schema(tmp_path, spark):
     s = IndexSchema.from_dict(SCHEMA)
     s.to_yaml(str(tmp_path / "s.yaml"))
     assert IndexSchema.from_yaml(str(tmp_path / "s.yaml")).to_dict() == s.to_dict()
-    assert s.index.key("7") == "u:7" and IndexSchema.from_dict({"index": {"name": "x", "prefix": "a:::"}}).index.key("7") == "a:7"
-    assert "age" not in s.remove_field("age").fields
-    for bad in ({"name": "age", "type": "numeric"}, {"name": "v", "type": "vector", "attrs": {}}, {"name": "v", "type": "nope"}, {"name": "v", "type": "vector", "attrs": {"dims": 8, "algorithm": "svs-vamana", "reduce": 4}}, {"name": "v", "type": "vector", "attrs": {"dims": 8, "algorithm": "svs-vamana", "compression": "LeanVec4x8", "reduce": 8}}, {"name": "v", "type": "vector", "attrs": {"dims": 8, "datatype": "int8", "algorithm": "svs-vamana"}}):
+    assert s.index.key("7") == "c:7" and IndexSchema.from_dict({"index": {"name": "x", "prefix": "a:::"}}).index.key("7") == "a:7"
+    assert "years" not in s.remove_field("years").fields
+    for bad in ({"name": "years", "type": "numeric"}, {"name": "v", "type": "vector", "attrs": {}}, {"name": "v", "type": "nope"}, {"name": "v", "type": "vector", "attrs": {"dims": 8, "algorithm": "svs-vamana", "reduce": 4}}, {"name": "v", "type": "vector", "attrs": {"dims": 8, "algorithm": "svs-vamana", "compression": "LeanVec4x8", "reduce": 8}}, {"name": "v", "type": "vector", "attrs": {"dims": 8, "datatype": "int8", "algorithm": "svs-vamana"}}):
         with pytest.raises(SchemaError):
             s.add_field(bad)
     assert Field("h", "vector", None, {"dims": 3, "algorithm": "hnsw"}).m == 16
@@ -35,42 +35,42 @@ def test_schema(tmp_path, spark):
 
 def test_validation_names_what_is_wrong(spark):
     s = IndexSchema.from_dict(SCHEMA)
-    df = spark.createDataFrame([("x", "5", [1.0, 2.0]), ("y", "no", [1.0, 2.0, 3.0])], "user string, age string, user_embedding array<float>")
-    got = {r.user: r._errors for r in s.errors(df).collect()}
-    assert got == {"x": ["user_embedding: expected 3 dimensions"], "y": ["age: not a number"]}
+    df = spark.createDataFrame([("x", "5", [1.0, 2.0]), ("y", "no", [1.0, 2.0, 3.0])], "name string, years string, skills array<float>")
+    got = {r.name: r._errors for r in s.errors(df).collect()}
+    assert got == {"x": ["skills: expected 3 dimensions"], "y": ["years: not a number"]}
     with pytest.raises(Exception, match="expected 3 dimensions|not a number"):
         s.validated(df).collect()
 
 
 def test_load_update_drop_expire(spark):
-    index = users(spark)
-    row = index.fetch("john").asDict(recursive=True)
-    assert index.load([{**row, "age": 19}, {**row, "user": "new"}]) == 2
-    assert index.df.count() == 8 and index.fetch("john").age == 19
-    assert index.update_by_filter(Num("age") > 90, {"credit_score": "low"}, dry_run=True).matched == 2
-    assert index.update_by_filter(Num("age") > 90, {"credit_score": "low", "job": None}).processed == 2
-    assert index.query(S.CountQuery(Tag("credit_score") == "low")) == 4 and index.fetch("nancy").job is None
-    index.update_by_filter(Num("age") == 12, {"location": {"lat": 1.0}})
-    assert index.fetch("tim").location.lat == 1.0 and index.fetch("tim").location.lon == -110.0839
+    index = crew(spark)
+    row = index.fetch("bruno").asDict(recursive=True)
+    assert index.load([{**row, "years": 23}, {**row, "name": "new"}]) == 2
+    assert index.df.count() == 9 and index.fetch("bruno").years == 23
+    assert index.update_by_filter(Num("years") > 40, {"grade": "junior"}, dry_run=True).matched == 2
+    assert index.update_by_filter(Num("years") > 40, {"grade": "junior", "trade": None}).processed == 2
+    assert index.query(S.CountQuery(Tag("grade") == "junior")) == 4 and index.fetch("gil").trade is None
+    index.update_by_filter(Num("years") == 12, {"port": {"lat": 1.0}})
+    assert index.fetch("emre").port.lat == 1.0 and index.fetch("emre").port.lon == -77.03
     with pytest.raises(ValueError):
-        index.drop_by_filter(Tag("credit_score") == [])
-    assert index.drop_by_filter(Num("age") < 15).matched == 2
+        index.drop_by_filter(Tag("grade") == [])
+    assert index.drop_by_filter(Num("years") < 7).matched == 2
     assert index.drop_keys("new") == 1
-    index.expire_keys("joe", 0)
-    assert index.fetch("joe") is None and index.expire_keys(["mary"], 100) == 0
-    assert sorted(index.keys(Num("age") >= 0)) == ["john", "nancy", "taimur", "tyler"]
+    index.expire_keys("hana", 0)
+    assert index.fetch("hana") is None and index.expire_keys(["fumi"], 100) == 0
+    assert sorted(index.keys(Num("years") >= 8)) == ["bruno", "dora", "emre", "gil"]
     index.clear()
     assert index.df.count() == 0
 
 
 def test_catalog(spark):
-    index = users(spark)
+    index = crew(spark)
     assert index.create() and not index.create() and index.create(overwrite=True)
-    assert SearchIndex.listall() == ["users"] and index.exists() and SearchIndex.from_existing("users") is index
-    assert index.info()["num_docs"] == 7 and index.stats()["num_terms"] > 20 and index.stats()["max_doc_id"] is None
+    assert SearchIndex.listall() == ["crew"] and index.exists() and SearchIndex.from_existing("crew") is index
+    assert index.info()["num_docs"] == 8 and index.stats()["num_terms"] > 20 and index.stats()["max_doc_id"] is None
     index.delete(drop=False)
     assert not index.exists()
-    assert SearchIndex.from_existing("t", index.df, "user").schema.fields["age"].type == "numeric"
+    assert SearchIndex.from_existing("t", index.df, "name").schema.fields["years"].type == "numeric"
 
 
 def test_versions_on_disk_and_migration(spark, tmp_path):
@@ -92,10 +92,10 @@ def test_versions_on_disk_and_migration(spark, tmp_path):
 
 def test_plan_blocks():
     a = IndexSchema.from_dict(SCHEMA)
-    cases = [{"update_fields": [{"name": "image", "attrs": {"dims": 9}}]}, {"add_fields": [{"name": "w", "type": "vector", "attrs": {"dims": 2}}]}, {"index": {"key_separator": "/"}}, {"index": {"storage_type": "json"}}, {"remove_fields": ["age"], "add_fields": [{"name": "age", "type": "tag"}]}]
+    cases = [{"update_fields": [{"name": "photo", "attrs": {"dims": 9}}]}, {"add_fields": [{"name": "w", "type": "vector", "attrs": {"dims": 2}}]}, {"index": {"key_separator": "/"}}, {"index": {"storage_type": "json"}}, {"remove_fields": ["years"], "add_fields": [{"name": "years", "type": "tag"}]}]
     for patch in cases:
         assert not M.plan(a, M.merge(a, patch)[0]).supported
-    assert M.plan(a, M.merge(a, {"remove_fields": ["age"], "add_fields": [{"name": "years", "type": "numeric"}]})[0]).warnings
+    assert M.plan(a, M.merge(a, {"remove_fields": ["years"], "add_fields": [{"name": "served", "type": "numeric"}]})[0]).warnings
     with pytest.raises(ValueError):
         M.merge(a, {"remove_fields": ["nope"]})
     assert M.disk_estimate(1000, 768, "float32", "float16")["saved"] == 1000 * 768 * 2
@@ -125,7 +125,7 @@ def test_bytes_and_quantisation(spark):
         V.normalised("ip", long.v[0])
 
 
-@pytest.mark.parametrize("word,root", [("caresses", "caress"), ("ponies", "poni"), ("cats", "cat"), ("agreed", "agre"), ("plastered", "plaster"), ("motoring", "motor"), ("hopping", "hop"), ("filing", "file"), ("happy", "happi"), ("relational", "relat"), ("hopefulness", "hope"), ("adjustment", "adjust"), ("adoption", "adopt"), ("rate", "rate"), ("controll", "control"), ("lungs", "lung"), ("cancers", "cancer")])
+@pytest.mark.parametrize("word,root", [("caresses", "caress"), ("ponies", "poni"), ("cats", "cat"), ("agreed", "agre"), ("plastered", "plaster"), ("motoring", "motor"), ("hopping", "hop"), ("filing", "file"), ("happy", "happi"), ("relational", "relat"), ("hopefulness", "hope"), ("adjustment", "adjust"), ("adoption", "adopt"), ("rate", "rate"), ("controll", "control"), ("masts", "mast"), ("climbing", "climb")])
 def test_stems(word, root):
     assert X.stem(word) == root
 
@@ -213,14 +213,14 @@ def test_router(spark, tmp_path):
 
 
 def test_tools(spark):
-    t = ToolServer(embed=lambda q: [0.1, 0.1, 0.5])
-    t.register("people", users(spark), ToolConfig(mode="fulltext", text_field="description"))
-    t.register("near", users(spark), ToolConfig(mode="vector", vector_field="user_embedding", max_limit=5))
-    t.register("both", users(spark), ToolConfig(mode="hybrid", text_field="description", vector_field="user_embedding", linear_text_weight=0.3))
+    t = ToolServer(embed=lambda q: [0.9, 0.2, 0.1])
+    t.register("people", crew(spark), ToolConfig(mode="fulltext", text_field="note"))
+    t.register("near", crew(spark), ToolConfig(mode="vector", vector_field="skills", max_limit=5))
+    t.register("both", crew(spark), ToolConfig(mode="hybrid", text_field="note", vector_field="skills", linear_text_weight=0.3))
     assert [x["id"] for x in t.list_indexes()] == ["both", "near", "people"]
-    assert len(t.search_records("people", "medical", filter={"field": "age", "op": "lt", "value": 13})["results"]) == 1
-    assert [r["user"] for r in t.search_records("near", "x", limit=1, offset=1)["results"]] == ["mary"]
-    assert len(t.search_records("both", "medical")["results"]) == 7
+    assert len(t.search_records("people", "ropes", filter={"field": "years", "op": "lt", "value": 20})["results"]) == 2
+    assert [r["name"] for r in t.search_records("near", "x", limit=1, offset=1)["results"]] == ["chidi"]
+    assert len(t.search_records("both", "ropes")["results"]) == 8
     for bad in ({"limit": 6}, {"limit": 0}, {"offset": -1}, {"offset": 1000}):
         with pytest.raises(ValueError):
             t.search_records("near", "x", **bad)
@@ -229,20 +229,20 @@ def test_tools(spark):
 
 
 def test_sql(spark):
-    p = products(spark)
+    p = tools(spark)
     names = lambda sql, **kw: [r[0] for r in p.sql(sql, kw).collect()]
-    assert names("SELECT title FROM products WHERE category = 'books' AND price < 50") == ["Python Programming"]
-    assert len(names("SELECT title FROM products WHERE tags IN ('featured')")) == 2
-    assert names("SELECT title FROM products WHERE (category = 'books' OR category = 'stationery') AND rating > 4.35 ORDER BY price DESC") == ["Data Science Guide", "Python Programming"]
-    assert names("SELECT COUNT(*) AS n FROM products WHERE title LIKE 'lap%'") == [3]
-    assert [tuple(r) for r in p.sql("SELECT category, COUNT(*) AS n, MAX(price) AS m FROM products GROUP BY category ORDER BY n DESC").collect()] == [("electronics", 4, 1299.0), ("books", 2, 65.0), ("stationery", 1, 15.0)]
-    assert names("SELECT title FROM products WHERE fuzzy(title, 'laptpo', 2) AND fulltext(title, 'gaming OR premium') LIMIT 5") == ["Gaming laptop Pro", "Premium laptop Ultra"]
-    assert names("SELECT name FROM products WHERE category = :c", c="o'reilly' OR 1=1") == []
-    for bad in ("SELECT DISTINCT * FROM products", "SELECT title FROM products WHERE title LIKE ''", "SELECT title FROM products WHERE category BETWEEN 'a' AND 'b'", "SELECT SUM(DISTINCT price) FROM products", "SELECT COUNT(DISTINCT price, stock) FROM products", "SELECT nope FROM products", "SELECT title FROM products WHERE price = :missing", "SELECT title, COUNT(*) FROM products GROUP BY category"):
+    assert names("SELECT title FROM tools WHERE category = 'reading' AND price < 30") == ["Rose growing handbook"]
+    assert len(names("SELECT title FROM tools WHERE tags IN ('heavy')")) == 2
+    assert names("SELECT title FROM tools WHERE (category = 'reading' OR category = 'watering') AND rating > 4.2 ORDER BY price DESC") == ["Copper watering can", "Soil chemistry primer", "Rose growing handbook"]
+    assert names("SELECT COUNT(*) AS n FROM tools WHERE title LIKE 'prun%'") == [3]
+    assert [tuple(r) for r in p.sql("SELECT category, COUNT(*) AS n, MAX(price) AS m FROM tools WHERE price > 10 GROUP BY category ORDER BY m DESC").collect()] == [("cutting", 3, 74.0), ("watering", 2, 48.0), ("reading", 2, 39.0)]
+    assert names("SELECT title FROM tools WHERE fuzzy(title, 'prunnig', 2) AND fulltext(title, 'folding OR curved') LIMIT 5") == ["Folding pruning saw", "Curved pruning knife"]
+    assert names("SELECT name FROM tools WHERE category = :c", c="o'reilly' OR 1=1") == []
+    for bad in ("SELECT DISTINCT * FROM tools", "SELECT title FROM tools WHERE title LIKE ''", "SELECT title FROM tools WHERE category BETWEEN 'a' AND 'b'", "SELECT SUM(DISTINCT price) FROM tools", "SELECT COUNT(DISTINCT price, stock) FROM tools", "SELECT nope FROM tools", "SELECT title FROM tools WHERE price = :missing", "SELECT title, COUNT(*) FROM tools GROUP BY category"):
         with pytest.raises(ValueError):
             p.sql(bad)
     with pytest.warns(UserWarning):
-        p.sql("SELECT title FROM products WHERE title = 'the laptop'")
+        p.sql("SELECT title FROM tools WHERE title = 'the saw'")
 
 
 def test_streaming_upsert_and_windows(spark, tmp_path):
@@ -250,15 +250,15 @@ def test_streaming_upsert_and_windows(spark, tmp_path):
 
     src = str(tmp_path / "in")
     at = dt.datetime(2024, 1, 1)
-    spark.createDataFrame([("john", 30, at), ("john", 30, at), ("zed", 5, at + dt.timedelta(hours=30))], "user string, age int, t timestamp").write.parquet(src)
-    stream = spark.readStream.schema("user string, age int, t timestamp").parquet(src)
-    index = users(spark)
-    q = upsert_into(index, deduplicated(stream, "user", "t", "1 day").drop("t"), str(tmp_path / "ck"))
+    spark.createDataFrame([("bruno", 30, at), ("bruno", 30, at), ("zed", 5, at + dt.timedelta(hours=30))], "name string, years int, t timestamp").write.parquet(src)
+    stream = spark.readStream.schema("name string, years int, t timestamp").parquet(src)
+    index = crew(spark)
+    q = upsert_into(index, deduplicated(stream, "name", "t", "1 day").drop("t"), str(tmp_path / "ck"))
     q.awaitTermination(60)
-    assert index.df.count() == 8 and index.fetch("john").age == 30
-    w = windowed_counts(stream, "t", "1 day", "2 days", ["user"]).writeStream.format("memory").queryName("w1").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck2")).start()
+    assert index.df.count() == 9 and index.fetch("bruno").years == 30
+    w = windowed_counts(stream, "t", "1 day", "2 days", ["name"]).writeStream.format("memory").queryName("w1").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck2")).start()
     w.awaitTermination(60)
-    assert sorted((r.user, r.n) for r in spark.table("w1").collect()) == [("john", 2), ("zed", 1)]
+    assert sorted((r.name, r.n) for r in spark.table("w1").collect()) == [("bruno", 2), ("zed", 1)]
     assert time.time() > 0
 
 
