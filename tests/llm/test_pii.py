@@ -26,12 +26,48 @@ def test_mentions(text, want):
     assert [(k, text[a:b]) for k, a, b in got] == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("My name is Bartholomew Featherstonehaugh.", [("name", "Bartholomew Featherstonehaugh")]),
+    ("Dear Mr Okonkwo, thank you.", [("name", "Okonkwo")]),
+    ("Priya Raghunathan and Wojciech Szczepański agreed.", [("name", "Priya Raghunathan"), ("name", "Wojciech Szczepański")]),
+    ("Меня зовут Иван Кузнецов.", [("name", "Иван Кузнецов")]),
+    ("Her social security number is 123-45-6789.", [("id_number", "123-45-6789")]),
+    ("My passport X1234567 expires.", [("id_number", "X1234567")]),
+    ("Abito in Via Roma 15, 00184 Roma.", [("address", "Via Roma 15, 00184 Roma")]),
+    ("Moro na Rua das Flores 22, 1200-195 Lisboa.", [("address", "Rua das Flores 22, 1200-195 Lisboa")]),
+    ("They live at 12 Baker Street, and like it.", [("address", "12 Baker Street")]),
+    ("We use Kubernetes and Postgres in Berlin. Order 123-45-6789 shipped.", []),
+])
+def test_names_numbers_and_streets_outside_the_training_texts(text, want):
+    got = pii.mentions([text])[0]
+    assert [(k, text[a:b]) for k, a, b in got] == want
+
+
+def test_recall_on_unseen_mentions():
+    from lodestone.llm import train_pii
+
+    for kind, (precision, recall, n) in train_pii.unseen(10).items():
+        assert precision >= 0.85 and recall >= 0.8 and n >= 20, kind
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    part = "Order 12-34-56-78 of Brandonia Wexley went to node 7 on Kelverine. "
+    took = []
+    for n in (500, 4000):
+        start = time.process_time()
+        pii.mentions([part * n])
+        took.append(time.process_time() - start)
+    assert took[1] < 20 * max(took[0], 0.05)
+
+
 def test_skip_edges_make_labels_agree():
     """A word that context leaves open takes the label of its clear repetition."""
     w = np.zeros((pii.DIMS, 7), "float32")
-    g = pii.Graph([], pii.Evidence(None))
+    g = pii.Graph([], pii.Evidence(None, np.zeros(pii.KNOWN_BITS, bool)))
     g.n, g.kinds = 2, np.array([0, 0])
-    g.features = np.array([[1] * 17, [2] * 17], "int32")
+    g.features = np.array([[1] * 22, [2] * 22], "int32")
     g.chain, g.skip = np.zeros((0, 3), "int64"), np.array([[0, 1]])
     w[1, pii.GIVEN], w[2, pii.O] = 0.3, 0.05
     skip = np.eye(7, dtype="float32") * 2
