@@ -1,42 +1,45 @@
 """Problem 5: rebuilding conversations from message rows.
 
-Method: disentangling interleaved channels. Messages are put in order; each reply scores the prompts and
-tool results shortly before it by time, mention (a shared tool call) and lexical overlap, takes the
-likeliest as its parent, and the links form trees rooted in prompts. An exact check of the runs of each
-conversation then decides which conversations are dropped.
+Method: disentangling interleaved channels. Messages are put in order; each scores the messages before it that it may
+speak to by time, mentions and lexical overlap, takes the likeliest as its parent, and the links form trees:
 
-No task holds a whole conversation: the order is a range partition by (session, time), see ``OrderedScan``,
-and the state of a conversation is folded from one small summary for each partition that it touches.
+- a prompt that follows a prompt *continues* it, so a run of prompts is a chain with a head;
+- a reply *replies* to the likeliest prompt or tool result of the last ``HORIZON_S`` seconds, or, where that long nothing
+  was said, to the last prompt before it;
+- another prompt *follows up* the likeliest reply of that time if it mentions it or shares enough words, else it begins a tree;
+- a tool message belongs to the assistant message with its call, wherever in the conversation that is.
+
+The score of a link is ``exp(-gap / DECAY_S) * (1 + overlap weight * overlap + mention weight * mentions)``, so what lies beyond the
+horizon could win only against nothing. Each reply also knows the head of the prompts right before it. A conversation is
+dropped by its links: no link end that is not blank, a reply without any prompt or a tool message without its call, a head that no
+visible reply follows. An exact check of runs is part of the last: it counts heads and the first visible replies right after them.
+
+No task holds a whole conversation: the order is dealt by ranges of (session, time), see ``OrderedScan``; rows within the
+horizon of a bound are sent along, and the state at a bound is folded from one small state for each partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm import messages as M
-from lodestone.plans.physical import OrderedScan
+from lodestone.plans.physical import OrderedScan, stage_table
 
-#: A reply looks for its parent among so many messages before it in the conversation.
-WINDOW = 8
-#: Seconds after which the weight of time has fallen to 1/e.
-DECAY_S = 600.0
-#: Weights of time, lexical overlap and mention.
-WEIGHTS = (1.0, 0.8, 2.0)
+#: Seconds after which the weight of time has fallen to 1/e, and beyond which a link is made only where there is no other.
+DECAY_S, HORIZON_S = 600.0, 1800.0
+#: Weights of lexical overlap and mention.
+OVERLAP_WEIGHT, MENTION_WEIGHT = 0.8, 2.0
+#: The share of common words from which a prompt follows up a reply.
+FOLLOW_UP = 0.5
 
 LINKED = (
-    "entry_id string, session_tag string, position long, role string, t double, rank int, seen boolean, "
-    "tool_call_id string, parent_id string, tree_id string, link_score double"
-)
-SUMMARY = (
-    "session_tag string, part int, any_seen boolean, no_role boolean, first_role string, first_seen boolean, "
-    "last_role string, last_seen boolean, one_run boolean, missing boolean"
+    "entry_id string, session_tag string, position long, role string, t double, rank int, seen boolean, tool_call_id string, "
+    "parent_id string, link string, link_score double, head_id string, is_head boolean, answers boolean, unprompted boolean"
 )
 
 
@@ -46,117 +49,166 @@ def word_hashes(content: Column) -> Column:
     return F.transform(words, lambda w: F.hash(w))
 
 
-def prepared(chat: DataFrame, words: bool = True) -> DataFrame:
-    """One row for each message of a conversation, with the hashes of its words; contents stay behind."""
-    none = F.array().cast("array<int>")
-    rows = chat.select(
+def mention_hashes(content: Column, call: Column) -> Column:
+    """What a text points at: names after @, identifiers with a digit, quoted words, and its tool call; as hashes."""
+    said = F.regexp_extract_all(F.lower(content), F.lit(r"(@[\p{L}\d._-]{2,}|(?<![\p{L}\d])[\p{L}\d]*\d[\p{L}\d_-]{3,}|(?<=[`\"“«])[^`\"”»\n]{3,40}(?=[`\"”»]))"), 1)
+    own = F.when(call.isNotNull(), F.array(F.concat(F.lit("call "), call))).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.array_distinct(F.concat(F.coalesce(said, F.array().cast("array<string>")), own)), lambda w: F.hash(w))
+
+
+def ordering(chat: DataFrame) -> DataFrame:
+    return chat.select(
         "entry_id",
         M.clean_role(F.col("role")).alias("role"),
         M.clean_tag(F.col("session_tag")).alias("session_tag"),
         M.clean_time(F.col("timestamp"), F.col("entry_id")).alias("t"),
         M.visible(F.col("content")).alias("seen"),
         "tool_call_id",
-        (F.coalesce(word_hashes(F.col("content")), none) if words else none).alias("words"),
+        F.coalesce(word_hashes(F.col("content")), F.array().cast("array<int>")).alias("words"),
+        mention_hashes(F.col("content"), F.col("tool_call_id")).alias("mentions"),
         "ingested_at",
-    ).where(F.col("session_tag").isNotNull())
-    one = M.one_per_entry(rows, ["session_tag", "t", "seen", "tool_call_id", "words"])
+    ).where(F.col("session_tag").isNotNull() & F.col("entry_id").isNotNull())
+
+
+def prepared(chat: DataFrame) -> DataFrame:
+    """One row for each message of a conversation, with the hashes of its words and mentions; contents stay behind."""
+    one = M.one_per_entry(ordering(chat), ["session_tag", "t", "seen", "tool_call_id", "words", "mentions"])
     return one.withColumn("rank", M.role_rank(F.col("role")))
 
 
-def _link(rows: pd.DataFrame, n: int, position: np.ndarray) -> pd.DataFrame:
-    size = len(rows)
-    tag, role = rows["session_tag"].to_numpy(), rows["role"].to_numpy()
-    t, call, key = rows["t"].to_numpy("float64"), rows["tool_call_id"].to_numpy(), rows["entry_id"].to_numpy()
-    user, reply = role == "user", (role == "assistant") | (role == "tool")
-    source = user | (role == "tool")
-    words = [frozenset(w.tolist() if isinstance(w, np.ndarray) else w) for w in rows["words"]]
-    n_words = np.array([len(w) for w in words])
-    best, parent = np.full(size, -1.0), np.full(size, -1)
-    a, b, c = WEIGHTS
-    for lag in range(1, min(WINDOW, size - 1) + 1):
-        i = np.arange(max(lag, n), size)
-        j = i - lag
-        ok = (tag[i] == tag[j]) & reply[i] & source[j] & ~((role[i] == "tool") & (role[j] == "tool"))
-        i, j = i[ok], j[ok]
-        if not len(i):
-            continue
-        gap = np.abs(t[i] - t[j])
-        shared = np.array([len(words[x] & words[y]) for x, y in zip(i, j)]) / np.maximum(1, np.minimum(n_words[i], n_words[j]))
-        mention = np.array([x is not None and x == y for x, y in zip(call[i], call[j])], bool)
-        score = a * np.exp(-np.nan_to_num(gap, nan=DECAY_S) / DECAY_S) + b * shared + c * mention
-        better = score > best[i]
-        best[i[better]], parent[i[better]] = score[better], j[better]
-    # a reply to a tool result belongs to the tree of the prompt that the tool result belongs to
-    root = np.where(user, np.arange(size), parent)
-    for _ in range(2):
-        step = np.where(root >= 0, root, 0)
-        root = np.where((root >= 0) & (role[step] == "tool") & (parent[step] >= 0), parent[step], root)
-    own = slice(n, size)
-    name = lambda x: np.where(x >= 0, key[np.where(x >= 0, x, 0)], None)
-    out = rows.loc[n:, ["entry_id", "session_tag", "role", "t", "rank", "seen", "tool_call_id"]]
-    return out.assign(
-        position=position, parent_id=name(parent[own]), tree_id=name(root[own]), link_score=np.where(parent[own] >= 0, best[own], np.nan)
-    )[[x.split()[0] for x in LINKED.split(", ")]]
-
-
-def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row for each conversation in this partition, from its runs of user and assistant messages."""
-    part, out, state = TaskContext.get().partitionId(), [], None
-    fresh = lambda tag: {"session_tag": tag, "part": part, "any_seen": False, "no_role": False, "first_role": None, "first_seen": False, "last_role": None, "last_seen": False, "one_run": True, "missing": False}
-    for batch in batches:
-        for tag, role, seen in zip(batch["session_tag"].to_numpy(), batch["role"].to_numpy(), batch["seen"].to_numpy()):
-            if state is None or state["session_tag"] != tag:
-                state = fresh(tag)
-                out.append(state)
-            if role is None:
-                state["no_role"] = True
-            elif role in ("user", "assistant"):
-                state["any_seen"] |= bool(seen)
-                if state["last_role"] is None:
-                    state["first_role"], state["last_role"] = role, role
-                elif state["last_role"] != role:
-                    if not state["one_run"] and state["last_role"] == "assistant" and not state["last_seen"]:
-                        state["missing"] = True
-                    state["last_role"], state["last_seen"], state["one_run"] = role, False, False
-                state["last_seen"] |= bool(seen)
-                if state["one_run"]:
-                    state["first_seen"] = state["last_seen"]
-        if len(out) > 20_000:
-            yield pd.DataFrame(out[:-1])
-            out = out[-1:]
-    if out:
-        yield pd.DataFrame(out)
-
-
-def _folded(summaries: DataFrame) -> DataFrame:
-    """The summaries of each conversation, folded in order of partition."""
-    item = F.struct("part", "first_role", "first_seen", "last_role", "last_seen", "one_run", "missing")
-    grouped = summaries.groupBy("session_tag").agg(
-        F.max("any_seen").alias("any_seen"), F.max("no_role").alias("no_role"), F.array_sort(F.collect_list(item)).alias("runs")
-    )
-    start = F.struct(F.lit(None).cast("string").alias("first"), F.lit(None).cast("string").alias("role"), F.lit(False).alias("seen"), F.lit(False).alias("missing"))
-
-    def merge(acc: Column, e: Column) -> Column:
-        joined = acc["role"].isNotNull() & (acc["role"] == e["first_role"])
-        closed = acc["role"].isNotNull() & (acc["role"] == "assistant") & ~acc["seen"] & ~joined
-        seen = F.when(joined, acc["seen"] | e["first_seen"]).otherwise(e["first_seen"])
-        inner = ~e["one_run"] & (((e["first_role"] == "assistant") & ~seen) | e["missing"])
-        after = F.struct(
-            F.coalesce(acc["first"], e["first_role"]).alias("first"), e["last_role"].alias("role"),
-            F.when(e["one_run"], seen).otherwise(e["last_seen"]).alias("seen"), (acc["missing"] | closed | inner).alias("missing"),
-        )
-        return F.when(e["first_role"].isNull(), acc).otherwise(after)
-
-    return grouped.withColumn("end", F.aggregate("runs", start, merge)).select(
-        "session_tag", "any_seen", "no_role", F.col("end.first").alias("first_role"),
-        F.coalesce(F.col("end.missing") | (F.col("end.role") == "user") | ~F.col("end.seen"), F.lit(True)).alias("missing"),
-    )
+NOTHING = {"first": None, "last": None, "lead": None, "head": None, "seen": False, "prompt": None}
+
+
+def _step(s: dict, key: str, role: str, seen: bool, t: float) -> dict:
+    """The state after one more message: the first and last role of a stretch of one conversation, the head of its last prompts
+    (``lead`` if these are its very first rows), whether a visible reply followed them, and its last prompt."""
+    if role == "user":
+        if s["last"] is None:
+            return {**s, "first": "user", "last": "user", "lead": key, "prompt": (key, t)}
+        if s["last"] != "user":
+            return {**s, "last": "user", "head": key, "seen": False, "prompt": (key, t)}
+        return {**s, "prompt": (key, t)}
+    if role == "assistant":
+        return {**s, "first": s["first"] or "assistant", "last": "assistant", "seen": s["seen"] or bool(seen)}
+    return s
+
+
+def _fold(state: dict | None, rows: pd.DataFrame) -> dict:
+    s = state or NOTHING
+    for key, role, seen, t in zip(rows["entry_id"], rows["role"], rows["seen"], rows["t"]):
+        s = _step(s, key, role, seen, t)
+    return s
+
+
+def _merge(a: dict, b: dict) -> dict:
+    if b["first"] is None:
+        return a
+    if a["first"] is None:
+        return b
+    out = {**a, "last": b["last"], "prompt": b["prompt"] or a["prompt"]}
+    if b["head"] is not None:
+        out["head"], out["seen"] = b["head"], b["seen"]
+    elif b["first"] == "user" and a["last"] != "user":
+        out["head"], out["seen"] = b["lead"], b["seen"]
+    elif b["first"] == "user":
+        out["seen"] = b["seen"]
+    else:
+        out["seen"] = a["seen"] or b["seen"]
+    return out
+
+
+def _head(state: dict | None) -> str | None:
+    """The head of the last prompts, from the state of a conversation from its beginning."""
+    return None if state is None else state["head"] if state["head"] is not None else state["lead"]
+
+
+class _Row:
+    """Columns of one batch and its context, as plain lists."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        self.key, self.tag, self.role = (rows[c].tolist() for c in ("entry_id", "session_tag", "role"))
+        self.t, self.seen = rows["t"].to_numpy("float64"), rows["seen"].tolist()
+        self.words, self.mentions = ([frozenset(w.tolist() if isinstance(w, np.ndarray) else w or ()) for w in rows[c]] for c in ("words", "mentions"))
+
+    def overlap(self, i: int, j: int) -> float:
+        return len(self.words[i] & self.words[j]) / max(1, min(len(self.words[i]), len(self.words[j])))
+
+    def likeliest(self, i: int, among: list[int]) -> tuple[int, float]:
+        """The best-scored of ``among`` (in order of time) as parent of row ``i``, and its score. The walk goes back in time and ends where
+        time alone puts all that is left below the best so far, so nothing within the horizon is missed."""
+        best, score, top = -1, -1.0, 1 + OVERLAP_WEIGHT + MENTION_WEIGHT
+        for j in reversed(among):
+            gap = self.t[i] - self.t[j]
+            if gap > HORIZON_S:
+                break
+            near = float(np.exp(-(0.0 if gap != gap else max(gap, 0.0)) / DECAY_S))
+            if near * top <= score:
+                break
+            got = near * (1 + OVERLAP_WEIGHT * self.overlap(i, j) + MENTION_WEIGHT * bool(self.mentions[i] & self.mentions[j]))
+            if got > score:
+                best, score = j, got
+        return best, score
+
+
+def _link(rows: pd.DataFrame, n: int, position: np.ndarray, state: dict | None) -> tuple[pd.DataFrame, dict]:
+    r, out = _Row(rows), []
+    tag, asked, prompts, said = None, [], [], []
+    for i, (key, role) in enumerate(zip(r.key, r.role)):
+        if r.tag[i] != tag:
+            tag, asked, prompts, said = r.tag[i], [], [], []
+            if i > n:
+                state = None
+        if i >= n:
+            before, parent, link, score, is_head, answers, unprompted = state, None, None, None, False, False, False
+            state = _step(state or NOTHING, key, role, r.seen[i], r.t[i])
+            if role == "user":
+                if before and before["last"] == "user":
+                    parent, link = before["prompt"][0], "continues"
+                else:
+                    is_head = True
+                    j, score = r.likeliest(i, said)
+                    if j >= 0 and (r.mentions[i] & r.mentions[j] or r.overlap(i, j) >= FOLLOW_UP):
+                        parent, link = r.key[j], "follows up"
+                    else:
+                        score = None
+            elif role in ("assistant", "tool"):
+                j, score = r.likeliest(i, prompts if role == "tool" else asked)
+                if j >= 0:
+                    parent, link = r.key[j], "replies"
+                elif before and before["prompt"]:
+                    parent, link, score = before["prompt"][0], "replies late", 0.0
+                else:
+                    score = None
+                if role == "assistant":
+                    unprompted = _head(before) is None
+                    answers = bool(r.seen[i]) and not unprompted and not before["seen"]
+            out.append((position[i - n], parent, link, score, _head(state), is_head, answers, unprompted))
+        if role == "user":
+            prompts.append(i)
+        if role in ("user", "tool"):
+            asked.append(i)
+        elif role == "assistant":
+            said.append(i)
+    made = pd.DataFrame(out, columns=["position", "parent_id", "link", "link_score", "head_id", "is_head", "answers", "unprompted"])
+    kept = rows.iloc[n:][["entry_id", "session_tag", "role", "t", "rank", "seen", "tool_call_id"]].reset_index(drop=True)
+    return pd.concat([kept, made], axis=1)[[x.split()[0] for x in LINKED.split(", ")]], state
+
+
+def trees(linked: DataFrame) -> DataFrame:
+    """``entry_id, tree_id``: the root of each message's tree. Pointers are doubled until none moves, so a chain of n links takes log n joins."""
+    at = stage_table(linked.select("session_tag", "entry_id", F.coalesce("parent_id", "entry_id").alias("tree_id"), F.col("parent_id").isNull().alias("done")))
+    while not at.where(~F.col("done")).isEmpty():
+        up = at.select("session_tag", F.col("entry_id").alias("tree_id"), F.col("tree_id").alias("above"), F.col("done").alias("above_done"))
+        # roots and what hangs on a root are done: only the others take part
+        open_ = at.where(~F.col("done")).join(up, ["session_tag", "tree_id"]).select("session_tag", "entry_id", F.col("above").alias("tree_id"), F.col("above_done").alias("done"))
+        at = stage_table(at.where("done").unionByName(open_))
+    return at.select("session_tag", "entry_id", "tree_id")
 
 
 @dataclass
 class Conversations:
-    """``messages``: every message in order with its parent and tree. ``verdicts``: each conversation with the
-    reason to drop it, null for those that are kept."""
+    """``messages``: every message in order with its parent, and the head of the prompts that it comes after. ``verdicts``: each
+    conversation with the reason to drop it, null for those that are kept."""
 
     messages: DataFrame
     verdicts: DataFrame
@@ -170,8 +222,14 @@ class Conversations:
         """The messages of the kept conversations; ordered by session_tag and position."""
         return self.messages.join(self.dropped.select("session_tag"), "session_tag", "left_anti")
 
+    @property
+    def with_trees(self) -> DataFrame:
+        """The messages of the kept conversations with ``tree_id``, the root of their link tree."""
+        kept = stage_table(self.kept)
+        return kept.join(trees(kept), ["session_tag", "entry_id"])
+
 
-def rebuild(chat: DataFrame, words: bool = True) -> Conversations:
+def rebuild(chat: DataFrame) -> Conversations:
     """Ordered conversations with clean roles, and the reasons to drop those that are empty, broken or lack a reply.
 
     Input: entry_id, role, content, session_tag, timestamp, tool_call_id, ingested_at; other columns are
@@ -179,22 +237,26 @@ def rebuild(chat: DataFrame, words: bool = True) -> Conversations:
     conversation. Messages are ordered by time, then system, user, tool, assistant, no role, then entry_id;
     messages that have no time at all come first. Null and invisible contents are blank. A tool message
     without tool_call_id is on no assistant message, so it breaks its conversation. An empty table gives
-    empty results. ``words`` is false where only the verdicts are wanted, which no link bears on.
+    empty results. Of equally likely parents the latest is taken.
     """
-    scan = OrderedScan(prepared(chat, words), "session_tag", ["t", "rank", "entry_id"], tail=WINDOW + 1)
-    linked = scan.map(_link, LINKED)
-    tools = scan.rows.where(F.col("role") == "tool").select("session_tag", F.coalesce("tool_call_id", F.lit("")).alias("call")).distinct()
-    calls = scan.rows.where((F.col("role") == "assistant") & F.col("tool_call_id").isNotNull()).select("session_tag", F.col("tool_call_id").alias("call"))
+    keys = ordering(chat).where("session_tag IS NOT NULL AND entry_id IS NOT NULL").select("session_tag", "t", M.role_rank(F.col("role")).alias("rank"), "entry_id")
+    scan = OrderedScan(prepared(chat), "session_tag", ["t", "rank", "entry_id"], HORIZON_S, keys).looking_back("t", HORIZON_S)
+    linked = stage_table(scan.map(_link, LINKED, _fold, _merge))
+    tools = linked.where(F.col("role") == "tool").select("session_tag", F.coalesce("tool_call_id", F.lit("")).alias("call")).distinct()
+    calls = linked.where((F.col("role") == "assistant") & F.col("tool_call_id").isNotNull()).select("session_tag", F.col("tool_call_id").alias("call"))
     orphans = tools.join(calls, ["session_tag", "call"], "left_anti").select("session_tag").distinct().withColumn("orphan", F.lit(True))
-    state = _folded(scan.rows.select("session_tag", "role", "seen").mapInPandas(_summaries, SUMMARY))
+    whole = linked.groupBy("session_tag").agg(
+        F.max(F.col("seen") & F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))).alias("any_seen"), F.max(F.col("role").isNull()).alias("no_role"),
+        F.max("unprompted").alias("unprompted"), F.sum(F.col("is_head").cast("long")).alias("heads"), F.sum(F.col("answers").cast("long")).alias("answered"),
+    )
     reason = (
         F.when(~F.col("any_seen"), "empty")
-        .when((F.col("first_role") == "assistant") | F.col("no_role") | F.coalesce("orphan", F.lit(False)), "broken")
-        .when(F.col("missing"), "missing_reply")
+        .when(F.col("unprompted") | F.col("no_role") | F.coalesce("orphan", F.lit(False)), "broken")
+        .when(F.col("heads") > F.col("answered"), "missing_reply")
     )
-    verdicts = state.join(orphans, "session_tag", "left").select("session_tag", reason.alias("reason"))
+    verdicts = whole.join(orphans, "session_tag", "left").select("session_tag", reason.alias("reason"))
     return Conversations(linked, verdicts)
 
 
 def found(chat: DataFrame) -> DataFrame:
-    return rebuild(chat, words=False).dropped
+    return rebuild(chat).dropped

@@ -70,8 +70,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_conversations(spark: SparkSession, d: str) -> DataFrame:
     from lodestone.llm import conversations
 
-    kept = conversations.rebuild(T(spark, d, "chat_messages")).kept
-    return kept.select("session_tag", "position", "entry_id", "role", "t", "parent_id", "tree_id")
+    kept = conversations.rebuild(T(spark, d, "chat_messages")).with_trees
+    return kept.select("session_tag", "position", "entry_id", "role", "t", "parent_id", "link", "tree_id")
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -59,7 +59,7 @@ def test_edge_cases(spark):
     df = frame(spark, rows)
     got = conversations.rebuild(df)
     assert {r.session_tag: r.reason for r in got.verdicts.collect()} == {"tag": None, "empty": "empty", "sys": "empty"}
-    assert [(r.entry_id, r.role, r.tree_id) for r in got.kept.orderBy("position").collect()] == [("a:10:x", "user", "a:10:x"), ("a:11:y", "assistant", "a:10:x")]
+    assert [(r.entry_id, r.role, r.tree_id) for r in got.with_trees.orderBy("position").collect()] == [("a:10:x", "user", "a:10:x"), ("a:11:y", "assistant", "a:10:x")]
     assert conversations.rebuild(df.limit(0)).verdicts.count() == 0
 
 
@@ -69,7 +69,7 @@ def test_reply_prefers_the_prompt_it_speaks_of(spark):
         ("3", "assistant", "vector quantisation behave like this", "x", 3.0), ("4", "assistant", "shipping addresses update nightly", "x", 4.0),
     ]
     got = {r.entry_id: r.parent_id for r in conversations.rebuild(frame(spark, rows)).messages.collect()}
-    assert got == {"1": None, "2": None, "3": "1", "4": "2"}
+    assert got == {"1": None, "2": "1", "3": "1", "4": "2"}  # the second prompt continues the first
 
 
 def test_a_long_reply_is_compared_by_all_its_words(spark):
@@ -80,4 +80,31 @@ def test_a_long_reply_is_compared_by_all_its_words(spark):
         ("4", "assistant", " ".join(["it is on sundays that shipping addresses update", *filler]), "x", 4.0), ("5", "user", "thanks then", "x", 3.5),
     ]
     got = {r.entry_id: r.parent_id for r in conversations.rebuild(frame(spark, rows)).messages.collect()}
-    assert got == {"1": None, "2": None, "3": "1", "4": "2", "5": None}
+    assert got == {"1": None, "2": "1", "3": "1", "4": "2", "5": None}
+
+
+def test_links_reach_any_number_of_messages_back_and_do_not_hang_on_partitions(spark):
+    rows = [("q0", "user", "the colour of zirconium crystals", "x", 0.0)]
+    rows += [(f"m{k:03d}", "assistant" if k % 2 else "user", f"something else {k % 2}", "x", 1.0 + k) for k in range(200)]
+    rows += [("r0", "assistant", "zirconium crystals are of a blue colour", "x", 230.0), ("r1", "assistant", "very late", "x", 9000.0), ("f", "user", "zirconium crystals of blue colour then?", "x", 9001.0)]
+    rows += [("y0", "user", "see order AB-12345 please", "y", 0.0), ("y1", "user", "and the weather", "y", 1.0), ("y2", "assistant", "AB-12345 has gone out", "y", 2.0)]
+    seen = []
+    for parts in ("1", "4", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = conversations.rebuild(frame(spark, rows))
+        links = {r.entry_id: (r.parent_id, r.link, r.position, r.head_id) for r in got.messages.collect()}
+        seen.append((links, sorted(map(tuple, got.verdicts.collect()))))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert seen[0] == seen[1] == seen[2]
+    assert links["r0"][:2] == ("q0", "replies") and links["r1"][:2] == ("m198", "replies late") and links["y2"][0] == "y0"
+    tree = {r.entry_id: r.tree_id for r in got.with_trees.collect()}
+    assert tree["y2"] == tree["y1"] == "y0"
+
+
+def test_a_prompt_follows_up_the_reply_it_speaks_of(spark):
+    rows = [
+        ("1", "user", "how does vector quantisation behave", "x", 1.0), ("2", "assistant", "quantisation halves memory", "x", 2.0),
+        ("3", "user", "quantisation halves what?", "x", 3.0), ("4", "assistant", "the memory", "x", 4.0), ("5", "user", "unrelated question", "x", 5.0), ("6", "assistant", "fine", "x", 6.0),
+    ]
+    got = conversations.rebuild(frame(spark, rows))
+    assert {r.entry_id: r.tree_id for r in got.with_trees.collect()} == {"1": "1", "2": "1", "3": "1", "4": "1", "5": "5", "6": "5"}
