@@ -1,6 +1,7 @@
 """Language of words and segments: a hashed character n-gram naive Bayes model, fitted by ``train_langid``.
 
-Latin-script words are scored by their character n-grams; kana, han and Cyrillic decide by script.
+Latin-script words are scored by their character n-grams; kana, han and Cyrillic decide by script and letters. The last
+language, ``other``, is what the model does not know: it gathers scripts and letters that none of its languages has.
 Word scores are kept in a bounded table for each worker, since words repeat far more often than texts.
 """
 
@@ -14,14 +15,19 @@ from functools import lru_cache
 import numpy as np
 
 #: The languages of the model, in the order of its columns (fixed values).
-LANGS = ["en", "de", "fr", "es", "pt", "it", "nl", "ru", "ja"]
+LANGS = ["en", "de", "fr", "es", "pt", "it", "nl", "ru", "ja", "other"]
 LATIN = LANGS[:7]
 DIMS = 1 << 13
 MODEL = os.path.join(os.path.dirname(__file__), "models", "langid.npz")
 
 WORD = re.compile(r"[^\W\d_]+")
 KANA = re.compile(r"[぀-ヿ㐀-䶿一-鿿]")
+HAN = re.compile(r"[㐀-䶿一-鿿]")
 CYRILLIC = re.compile(r"[Ѐ-ӿ]")
+#: Cyrillic letters that Russian does not have, and Latin ones that none of the seven languages has (fixed values).
+NOT_RUSSIAN = re.compile(r"[іїєґўђћљњџјѓќѕәғқңөұүһ]")
+NOT_LATIN7 = re.compile(r"[ąćęłńśźżőűşğıåøčďěňřšťůžđțșăľĺŕāēģīķļņūėųįþðĩũơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹ]")
+LATIN_LETTER = re.compile(r"[a-zà-ɏḀ-ỿ]")
 
 
 def grams(word: str) -> list[int]:
@@ -50,13 +56,18 @@ class WordScores:
         out = np.zeros(len(LANGS), "float32")
         low = word.lower()
         if KANA.search(low):
-            out[8] = 3.0 * len(low)
+            # half of the characters of Japanese are kana, none of Chinese
+            out[8], out[9] = 3.0 * len(low), 3.3 * len(HAN.findall(low))
         elif CYRILLIC.search(low):
-            out[7] = 6.0
+            out[7], out[9] = (2.0, 10.0) if NOT_RUSSIAN.search(low) else (6.0, 4.0)
+        elif not LATIN_LETTER.search(low):
+            out[9] = 6.0
         elif len(low) > 1 or low in "aeiouyàéèó":
             g = self.w[grams(low)].mean(axis=0) * min(6, 2 + len(low) ** 0.5)
             g = np.maximum(g - g.max(), -6)
             out[:7] = g - g.mean()
+            if NOT_LATIN7.search(low):
+                out[9] = out[:7].max() + 3.0
         return out
 
     def add(self, words: set[str]) -> None:
