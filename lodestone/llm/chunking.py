@@ -66,8 +66,9 @@ def atoms(text: str, cap: int) -> tuple[list[int], list[int]]:
 def split(text: str, max_size: int, overlap: int) -> list[tuple[int, int]]:
     """Core spans ``(start, end)`` that tile ``text``; with the overlap before it each is at most ``max_size``.
 
-    A text within ``max_size`` is one span; an empty text gives none. ``max_size`` must be at least 1;
-    an overlap of half the limit or more is brought down to what leaves room for progress.
+    A text within ``max_size`` is one span; an empty text gives none. ``max_size`` must be at least 1 and the overlap less; an
+    overlap of the limit or more leaves no room and counts as one less than the limit. The first span holds at least
+    as many characters as the overlap, so every later piece has the whole of it.
     """
     if max_size < 1:
         raise ValueError("max_size must be at least 1")
@@ -75,7 +76,14 @@ def split(text: str, max_size: int, overlap: int) -> list[tuple[int, int]]:
         return []
     if len(text) <= max_size:
         return [(0, len(text))]
-    cap = max_size - min(max(overlap, 0), max_size // 2)
+    overlap = min(max(overlap, 0), max_size - 1)
+    cap = max_size - overlap
+    spans = merged(text[overlap:], cap)
+    return [(a + overlap if k else 0, b + overlap) for k, (a, b) in enumerate(spans)]
+
+
+def merged(text: str, cap: int) -> list[tuple[int, int]]:
+    """Spans of at most ``cap`` characters that tile ``text``, merged over the weakest boundaries."""
     at, strength = atoms(text, cap)
     n = len(at) - 1
     start, end = at[:-1], at[1:]
@@ -114,7 +122,7 @@ def pieces(chat: DataFrame, limits: DataFrame) -> DataFrame:
 
     Input: entry_id, role, content, ingested_at; limits: scope, max_size, overlap_size. Output: see
     ``PIECES``; ``start_pos`` counts characters from 1 and ``overlap_chars`` is what the piece shares with
-    the one before it (as stated, less only where the limit leaves no room).
+    the one before it: as stated, one less than the limit if that is less, none if null.
 
     Null or short contents, messages without entry_id and scopes without a limit give no rows; repeated
     rows count once; a role that names none uses the scope ``other``. Extra columns are ignored.
@@ -133,7 +141,7 @@ def pieces(chat: DataFrame, limits: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for key, role, text, size, overlap in batch.itertuples(index=False):
-                overlap = min(max(int(overlap or 0), 0), int(size) // 2)
+                overlap = 0 if pd.isna(overlap) else min(max(int(overlap), 0), int(size) - 1)
                 for k, (a, b) in enumerate(split(text, int(size), overlap)):
                     shared = min(overlap, a)
                     rows.append((key, role, k + 1, a - shared + 1, b - a + shared, shared, text[a - shared : b]))

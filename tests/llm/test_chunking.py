@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 
 from lodestone.llm import chunking
 
+LIMIT_SCHEMA = "scope string, unit string, max_size int, overlap_size int"
 LIMITS = [("chat_messages.user", "characters", 50, 10), ("chat_messages.other", "characters", 30, 0), ("documents.small", "tokens", 5, 0)]
 
 
@@ -13,10 +14,10 @@ LIMITS = [("chat_messages.user", "characters", 50, 10), ("chat_messages.other",
 def test_split_tiles_and_fits(text, size, overlap):
     spans = chunking.split(text, size, overlap)
     assert "".join(text[a:b] for a, b in spans) == text
-    shared = min(overlap, size // 2)
+    shared = min(overlap, size - 1)
     for k, (a, b) in enumerate(spans):
-        assert a < b
-        assert b - a + (min(shared, a) if k else 0) <= size
+        assert a < b and (k == 0 or a >= shared)
+        assert b - a + (shared if k else 0) <= size
 
 
 def test_merges_until_nothing_fits():
@@ -31,6 +32,15 @@ def test_prefers_strong_boundaries():
     assert [text[a:b].strip()[:5] for a, b in chunking.split(text, 75, 0)] == ["First", "Secon"]
 
 
+def test_any_overlap_below_the_limit_is_kept_and_a_null_one_is_none(spark):
+    chat = spark.createDataFrame([("a", "user", "one two three four five six seven"), ("b", "tool", "y" * 25)], "entry_id string, role string, content string").selectExpr("*", "timestamp_seconds(1) ingested_at")
+    limits = spark.createDataFrame([("chat_messages.user", "characters", 10, 9), ("chat_messages.tool", "characters", 10, None)], LIMIT_SCHEMA)
+    got = chunking.pieces(chat, limits).orderBy("entry_id", "piece_no").collect()
+    a = [r.piece for r in got if r.entry_id == "a"]
+    assert all(p[-9:] == q[:9] for p, q in zip(a, a[1:])) and max(map(len, a)) == 10
+    assert [len(r.piece) for r in got if r.entry_id == "b"] == [10, 10, 5]
+
+
 def test_pieces_edge_cases(spark):
     limits = spark.createDataFrame(LIMITS, "scope string, unit string, max_size int, overlap_size int")
     long = "A sentence here. " * 8
