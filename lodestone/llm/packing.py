@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm import tokens
+from lodestone.plans.physical import stage_table
 
 #: A shard holds about so many tokens and rows.
 SHARD_TOKENS, SHARD_ROWS = 4_000_000, 50_000
@@ -75,21 +76,26 @@ def _shard(capacities: list[int], step: int, shards: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         shard, only = key
         rows = rows.sort_values(["n_tokens", "doc_id", "piece_no", "copy_no"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
-        out = []
-        for capacity, bins in pack(rows["n_tokens"].to_numpy(), [only] if only else capacities).items():
+        size, out = rows["n_tokens"].to_numpy("int64"), []
+        for capacity, bins in pack(size, [only] if only else capacities).items():
             heavy = np.argsort([-x for x in bins.load], kind="stable")
             groups = max(1, math.ceil(len(heavy) / step))
             group = {}
             for nth, b in enumerate(heavy):
                 lap, at = divmod(nth, groups)
                 group[int(b)] = at if lap % 2 == 0 else groups - 1 - at
-            for b, items in enumerate(bins.items):
-                start = 0
-                for i in items:
-                    n = int(rows["n_tokens"][i])
-                    out.append((capacity, f"{capacity}-{shard}-{b}", group[b] * shards + shard, rows["doc_id"][i], rows["piece_no"][i], rows["token_start"][i], n, start))
-                    start += n
-        return pd.DataFrame(out, columns=[x.split()[0] for x in PLACED.split(", ")])
+            if not bins.items:
+                continue
+            at, held = np.concatenate([np.array(x, int) for x in bins.items]), np.array([len(x) for x in bins.items])
+            bin_of, ends = np.repeat(np.arange(len(held)), held), np.cumsum(size[at])
+            first = np.cumsum(held) - held
+            base = (ends - size[at])[first]
+            out.append(pd.DataFrame({
+                "capacity": capacity, "container": np.array([f"{capacity}-{shard}-{b}" for b in range(len(held))], object)[bin_of],
+                "step_group": np.array([group[b] * shards + shard for b in range(len(held))])[bin_of], "doc_id": rows["doc_id"].to_numpy()[at], "piece_no": rows["piece_no"].to_numpy()[at],
+                "token_start": rows["token_start"].to_numpy()[at], "n_tokens": size[at], "slot_start": ends - size[at] - np.repeat(base, held),
+            }))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=[x.split()[0] for x in PLACED.split(", ")])
 
     return run
 
@@ -109,7 +115,9 @@ def packed(docs: DataFrame, limits: DataFrame, each: bool = False, folder: str |
     caps = sorted(int(r[0]) for r in found)
     if not caps or caps[0] < 1 or len(caps) > 1000:
         raise ValueError("between 1 and 1000 positive capacities of documents.* are needed")
-    sizes = tokens.count(docs, folder=folder).withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    sizes = stage_table(tokens.count(docs, folder=folder))
+    total = sizes.agg(F.sum("n_tokens"), F.count("*")).first()
+    sizes = sizes.withColumn("copy_no", F.monotonically_increasing_id())
     sizes = sizes.withColumn("only", F.explode(F.array(*[F.lit(c) for c in caps])) if each else F.lit(0))
     top = F.when(F.col("only") > 0, F.col("only")).otherwise(F.lit(caps[-1]))
     starts = F.when(F.col("n_tokens") > 0, F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, top.cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
@@ -118,7 +126,6 @@ def packed(docs: DataFrame, limits: DataFrame, each: bool = False, folder: str |
         "doc_id", "copy_no", "only", (F.col("piece") + 1).alias("piece_no"), "token_start",
         F.least(F.col("n_tokens") - F.col("token_start"), F.col("top").cast("long")).cast("int").alias("n_tokens"),
     )
-    total = sizes.agg(F.sum("n_tokens"), F.count("*")).first()
     shards = max(1, math.ceil((total[0] or 0) / SHARD_TOKENS), math.ceil((total[1] or 0) / SHARD_ROWS))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece_no", "copy_no", "n_tokens"), F.lit(shards)).cast("int"))
     return dealt.groupBy("shard", "only").applyInPandas(_shard(caps, step, shards), PLACED)
