@@ -6,7 +6,9 @@ import math
 import re
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,9 +87,17 @@ STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment
 
 
 def _stem_udf():
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda ws: None if ws is None else [stem(w) for w in ws])
+    """Stems of lists of words: each distinct word of an Arrow batch is stemmed once, the rest are lookups in Arrow."""
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(lists: pa.Array) -> pa.Array:
+        words = lists.flatten()
+        coded = words.dictionary_encode()
+        stems = pa.array([stem(w) for w in coded.dictionary.to_pylist()], pa.string())
+        sizes = np.asarray(lists.value_lengths().fill_null(0))
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
+        made = pa.ListArray.from_arrays(pa.array(ends), stems.take(coded.indices))
+        return pc.if_else(lists.is_null(), pa.scalar(None, made.type), made) if lists.null_count else made
 
     return run
 

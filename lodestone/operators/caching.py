@@ -125,10 +125,31 @@ class EmbeddingsCache:
         return F.sha2(F.concat(content, F.lit(":"), model), 256)
 
     def mget(self, wanted: DataFrame, content: str = "content", model: str = "model_name") -> DataFrame:
-        """``wanted`` with ``embedding`` and ``metadata``; null where the cache has none."""
+        """``wanted`` with ``embedding`` and ``metadata``; null where the cache has none. With a ttl what is found lives on from now."""
+        self.refresh(wanted, content, model)
         keyed = wanted.withColumn("entry_id", self.key_column(F.col(content), F.col(model)))
         return keyed.join(self.index.df.select("entry_id", "embedding", F.col("metadata").alias("cached_metadata")), "entry_id", "left")
 
+    def refresh(self, wanted: DataFrame, content: str = "content", model: str = "model_name") -> int:
+        """Starts the ttl of the entries of ``wanted`` anew; their number."""
+        return self.index.expire_rows(wanted.select(self.key_column(F.col(content), F.col(model)).alias("entry_id")).distinct(), self.ttl) if self.ttl is not None else 0
+
+    def mget_by_keys(self, keys: list[str]) -> list[dict[str, Any] | None]:
+        """Entries in the order of ``keys``, None where there is none."""
+        wanted = self.index.df.sparkSession.createDataFrame([(k,) for k in dict.fromkeys(keys)], "entry_id string")
+        found = {r["entry_id"]: r.asDict() for r in self.index.df.join(wanted, "entry_id", "left_semi").collect()}
+        if self.ttl is not None and found:
+            self.index.expire_keys(list(found), self.ttl)
+        return [found.get(k) for k in keys]
+
+    def mexists_by_keys(self, keys: list[str]) -> list[bool]:
+        wanted = self.index.df.sparkSession.createDataFrame([(k,) for k in dict.fromkeys(keys)], "entry_id string")
+        found = {r["entry_id"] for r in self.index.df.join(wanted, "entry_id", "left_semi").select("entry_id").collect()}
+        return [k in found for k in keys]
+
+    def mdrop_by_keys(self, keys: list[str]) -> int:
+        return self.index.drop_keys(keys)
+
     def mexists(self, wanted: DataFrame, content: str = "content", model: str = "model_name") -> DataFrame:
         keyed = wanted.withColumn("entry_id", self.key_column(F.col(content), F.col(model)))
         return keyed.join(self.index.df.select("entry_id", F.lit(True).alias("found")), "entry_id", "left").withColumn("found", F.coalesce("found", F.lit(False)))
@@ -141,7 +162,7 @@ class EmbeddingsCache:
 
     def mdrop(self, wanted: DataFrame, content: str = "content", model: str = "model_name") -> None:
         keyed = wanted.select(self.key_column(F.col(content), F.col(model)).alias("entry_id"))
-        self.index._set(self.index._raw().join(keyed, "entry_id", "left_anti"))
+        self.index._set(self.index._raw().join(keyed, "entry_id", "left_anti"), gone=keyed.distinct())
 
     def get(self, content: str | bytes, model: str) -> dict[str, Any] | None:
         return self.get_by_key(embedding_key(content, model))

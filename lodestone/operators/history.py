@@ -39,7 +39,11 @@ class MessageHistory:
     def _of(self, session: str | None, role: str | list[str] | None) -> DataFrame:
         out = self.df.where(F.col("session_tag") == (session or self.session))
         roles = check_roles(role)
-        return out.where(F.col("role").isin(roles)) if roles else out
+        if not roles:
+            return out
+        # the old name and the new one of assistant are one role
+        same = {"llm", "assistant"}
+        return out.where(F.col("role").isin(sorted(set(roles) | same if same & set(roles) else set(roles))))
 
     def add_messages(self, messages: list[dict[str, Any]], session: str | None = None, now: float | None = None) -> list[str]:
         import time

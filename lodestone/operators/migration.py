@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from dataclasses import dataclass, field
 from typing import Any
@@ -13,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import vectors as V
+from lodestone.operators.index import layered, migrations
 from lodestone.schema import IndexSchema
+from lodestone.sources import store
 
 
 @dataclass
@@ -136,20 +137,32 @@ class Validation:
     doc_count_match: bool
     missing_keys: int
     unreadable_vectors: int
+    unreadable_before: int = 0
+
+    @property
+    def failures(self) -> list[str]:
+        """What went wrong. Vectors that could not be read before are no fault of the migration; more of them are."""
+        worse = self.unreadable_vectors - self.unreadable_before
+        said = [(not self.schema_match, "columns are missing"), (not self.doc_count_match, "the number of rows differs"), (self.missing_keys > 0, f"{self.missing_keys} keys are missing"), (worse > 0, f"{worse} more vectors cannot be read")]
+        return [text for wrong, text in said if wrong]
 
     @property
     def passed(self) -> bool:
-        return self.schema_match and self.doc_count_match and not self.missing_keys and not self.unreadable_vectors
+        return not self.failures
 
 
 def validate(before: DataFrame, after: DataFrame, p: Plan, key: str = "key") -> Validation:
     want = {c for c in before.withColumnsRenamed(p.renamed).columns}
     expected = transform(before.select(key), Plan(p.source, p.target, prefix=p.prefix), key)
-    bad = F.lit(False)
-    for f in p.target.fields.values():
-        if f.type == "vector" and f.name in after.columns and after.schema[f.name].dataType.typeName() == "array":
-            bad = bad | F.coalesce(F.size(f.name) != f.dims, F.lit(False))
-    return Validation(want <= set(after.columns), before.count() == after.count(), expected.join(after.select(key), key, "left_anti").count(), after.where(bad).count())
+
+    def unreadable(df: DataFrame, schema: IndexSchema) -> int:
+        bad = F.lit(False)
+        for f in schema.fields.values():
+            if f.type == "vector" and f.name in df.columns and df.schema[f.name].dataType.typeName() == "array":
+                bad = bad | F.coalesce(F.size(f.name) != f.dims, F.lit(False))
+        return df.where(bad).count()
+
+    return Validation(want <= set(after.columns), before.count() == after.count(), expected.join(after.select(key), key, "left_anti").count(), unreadable(after, p.target), unreadable(before, p.source))
 
 
 class Migrator:
@@ -159,40 +172,30 @@ class Migrator:
         self.spark, self.path = spark, path
 
     def _current(self) -> str:
-        with open(os.path.join(self.path, "CURRENT"), encoding="utf-8") as f:
-            return f.read().strip()
-
-    def _point(self, version: str) -> None:
-        tmp = os.path.join(self.path, f".c-{uuid.uuid4().hex}")
-        with open(tmp, "w", encoding="utf-8") as f:
-            f.write(version)
-        os.replace(tmp, os.path.join(self.path, "CURRENT"))
+        return store.read_text(self.spark, f"{self.path}/CURRENT")
 
     def status(self) -> list[dict[str, Any]]:
-        log = os.path.join(self.path, "MIGRATIONS")
-        if not os.path.exists(log):
-            return []
-        with open(log, encoding="utf-8") as f:
-            return [json.loads(x) for x in f if x.strip()]
+        return migrations(self.spark, self.path)
 
     def apply(self, p: Plan, key: str = "key") -> Validation:
         """Writes the new version beside the old one, validates it, and only then makes it the live one."""
         before = self._current()
-        version = f"v-{uuid.uuid4().hex}"
-        source = self.spark.read.parquet(os.path.join(self.path, before))
-        transform(source, p, key).write.parquet(os.path.join(self.path, version))
-        result = validate(source, self.spark.read.parquet(os.path.join(self.path, version)), p, key)
+        source = layered(self.spark, self.path, store.read_json(self.spark, f"{self.path}/{before}"), key)
+        name, version = f"v-{uuid.uuid4().hex}", f"layers-{uuid.uuid4().hex}.json"
+        transform(source, p, key).write.parquet(f"{self.path}/{name}")
+        store.write_json(self.spark, f"{self.path}/{version}", [["base", name]])
+        result = validate(source, self.spark.read.parquet(f"{self.path}/{name}"), p, key)
+        nth = len(self.status())
+        store.write_json(self.spark, f"{self.path}/migration-{nth:08d}.json", {"from": before, "to": version, "passed": result.passed, "failures": result.failures, "plan": p.to_dict()})
         if result.passed:
-            self._point(version)
-        with open(os.path.join(self.path, "MIGRATIONS"), "a", encoding="utf-8") as f:
-            f.write(json.dumps({"from": before, "to": version, "passed": result.passed, "plan": p.to_dict()}) + "\n")
+            store.write_text(self.spark, f"{self.path}/CURRENT", version)
         return result
 
     def rollback(self) -> str:
         done = [x for x in self.status() if x["passed"]]
         if not done:
             raise ValueError("nothing to roll back")
-        self._point(done[-1]["from"])
+        store.write_text(self.spark, f"{self.path}/CURRENT", done[-1]["from"])
         return done[-1]["from"]
 
 
@@ -221,7 +224,7 @@ BITS = {"LVQ4": 4, "LVQ4x4": 8, "LVQ4x8": 12, "LVQ8": 8, "LeanVec4x8": 12, "Lean
 
 
 def recommend(dims: int, priority: str = "balanced") -> dict[str, Any]:
-    """Settings of a compressed graph index for ``dims``; priority is speed, memory or balanced."""
+    """Settings (fixed values) of a compressed graph index for ``dims``; priority is speed, memory or balanced."""
     if dims <= 0:
         raise ValueError("dims must be positive")
     if priority not in ("speed", "memory", "balanced"):

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestone.sources import store
+
 #: Reductions over the references of a route (fixed values).
 AGGREGATES = ("avg", "min", "sum")
 
@@ -104,13 +106,19 @@ class SemanticRouter:
         self.name, self.embed, self.config = name, embed, config or RoutingConfig()
         self.routes = {r.name: r for r in routes}
         self.spark = spark or SparkSession.active()
+        #: Vectors of references that have been embedded once.
+        self.vectors: dict[str, list[float]] = {}
 
     @staticmethod
     def reference_id(route: str, reference: str) -> str:
         return f"{route}:{hashlib.sha256(reference.encode()).hexdigest()}"
 
     def references(self) -> DataFrame:
-        rows = [(self.reference_id(r.name, t), r.name, t, [float(x) for x in self.embed(t)], float(r.distance_threshold)) for r in self.routes.values() for t in r.references]
+        for r in self.routes.values():
+            for t in r.references:
+                if t not in self.vectors:
+                    self.vectors[t] = [float(x) for x in self.embed(t)]
+        rows = [(self.reference_id(r.name, t), r.name, t, self.vectors[t], float(r.distance_threshold)) for r in self.routes.values() for t in r.references]
         return self.spark.createDataFrame(rows, "reference_id string, route_name string, reference string, vector array<float>, distance_threshold double")
 
     def route_many(self, statement: str | None = None, vector: list[float] | None = None, max_k: int | None = None, aggregation: str | None = None) -> list[RouteMatch]:
@@ -177,6 +185,19 @@ class SemanticRouter:
         c = d.get("routing_config") or {}
         return cls(d["name"], [Route(**r) for r in d["routes"]], embed, RoutingConfig(c.get("max_k", 1), c.get("aggregation_method", "avg")), spark)
 
+    def save(self, path: str) -> None:
+        """The configuration and the references with their vectors, in a folder of any storage."""
+        self.references().write.mode("overwrite").parquet(f"{path}/references")
+        store.write_json(self.spark, f"{path}/ROUTER", self.to_dict())
+
+    @classmethod
+    def from_existing(cls, path: str, embed, spark: SparkSession | None = None) -> SemanticRouter:
+        """The router that was saved to ``path``; its references are not embedded again."""
+        spark = spark or SparkSession.active()
+        out = cls.from_dict(store.read_json(spark, f"{path}/ROUTER"), embed, spark)
+        out.vectors = {r["reference"]: list(r["vector"]) for r in spark.read.parquet(f"{path}/references").select("reference", "vector").collect()}
+        return out
+
     def to_yaml(self, path: str) -> None:
         with open(path, "w", encoding="utf-8") as f:
             yaml.safe_dump(self.to_dict(), f, sort_keys=False)

@@ -27,6 +27,8 @@ from lodestone.schema import IndexSchema
 BATCH_QUERIES = 4096
 #: Queries of a round that are multiplied with an Arrow batch at once: 20 MB of products with 10,000 rows.
 TILE_QUERIES = 256
+#: A task of a batch search cuts its running lists back to the k best after so many rows.
+KEPT_ROWS = 200_000
 
 
 @dataclass
@@ -36,6 +38,8 @@ class Source:
     df: DataFrame
     schema: IndexSchema
     key: str
+    #: Approximate indices of vector fields, by name; see ``ann.CellIndex``.
+    ann: dict[str, Any] = field(default_factory=dict)
 
     @property
     def dtypes(self) -> dict[str, T.DataType]:
@@ -113,7 +117,8 @@ class CountQuery:
 
 @dataclass
 class ApproximateOptions:
-    """Knobs of approximate search. They are validated; an exact scan ignores them."""
+    """Knobs of approximate search. They are validated; on a field with a built index ``ef_runtime`` and ``search_window_size`` say how
+    many cells are read, an exact scan ignores them."""
 
     hybrid_policy: str | None = None
     batch_size: int | None = None
@@ -153,6 +158,11 @@ class VectorQuery(Query):
         f = s.schema.fields.get(self.field_name)
         self.options.validate(f.algorithm if f else None)
         d = V.distance(s.metric(self.field_name), F.col(self.field_name), [float(x) for x in self.vector])
+        cells = s.ann.get(self.field_name)
+        if cells is not None and type(self) is VectorQuery and f.algorithm != "flat" and s.metric(self.field_name) == "cosine":
+            # a hnsw or svs field with a built index: only the cells that the knobs allow are read
+            near = cells.near([float(x) for x in self.vector], cells.probes(self.options.ef_runtime or self.options.search_window_size or self.num_results))
+            s = replace(s, df=near)
         return s.where(self.filter).withColumn("vector_distance", d).where(F.col("vector_distance").isNotNull())
 
     def finish(self, s: Source, df: DataFrame) -> DataFrame:
@@ -208,12 +218,12 @@ class TextQuery(Query):
         check_word_weights(self.text_weights)
         return X.query_terms(self.text, X.stopword_set(self.stopwords, spark))
 
-    def scored(self, s: Source, required: bool = True) -> DataFrame:
-        """The filtered rows with their score; with ``required`` only those that hold a word."""
+    def scored(self, s: Source, required: bool = True, rows: DataFrame | None = None) -> DataFrame:
+        """The filtered rows, or ``rows``, with their score; with ``required`` only those that hold a word."""
         if self.scorer not in X.SCORERS:
             raise ValueError(f"unknown scorer {self.scorer!r}")
         spark = s.df.sparkSession
-        df, terms, total, match = s.where(self.filter), self.terms(spark), F.lit(0.0), F.lit(False)
+        df, terms, total, match = s.where(self.filter) if rows is None else rows, self.terms(spark), F.lit(0.0), F.lit(False)
         ctx = Context(s.schema, s.dtypes)
         if self.in_order and len(terms) > 1:
             match = F.lit(False)
@@ -266,10 +276,9 @@ class AggregateHybridQuery(TextQuery):
     def run(self, s: Source) -> DataFrame:
         if not self.text.strip() or not self.terms(s.df.sparkSession):
             raise ValueError("the text holds no word to search for")
-        text = replace(self, name="text_score", filter=self.filter).scored(s, required=False)
-        knn = VectorQuery(vector=self.vector, field_name=self.vector_field, num_results=self.num_results)
-        s2 = Source(text, s.schema, s.key)
-        df = knn.scored(s2).orderBy("vector_distance", s.key).limit(self.num_results)
+        knn = VectorQuery(vector=self.vector, field_name=self.vector_field, num_results=self.num_results, filter=self.filter)
+        nearest = knn.scored(s).orderBy("vector_distance", s.key).limit(self.num_results)
+        df = replace(self, name="text_score").scored(s, required=False, rows=nearest)  # only these rows' texts are scored
         df = df.withColumn("vector_similarity", (2.0 - F.col("vector_distance")) / 2.0)
         df = df.withColumn("hybrid_score", (1.0 - self.alpha) * F.col("text_score") + self.alpha * F.col("vector_similarity"))
         return self._project(df.orderBy(F.col("hybrid_score").desc(), s.key), s.key, ["vector_distance", "vector_similarity", "text_score", "hybrid_score"])
@@ -357,8 +366,8 @@ def batch_knn(corpus: DataFrame, key: str, vector: str, queries: DataFrame, quer
     """``query_id, key, distance, rank``: the ``k`` nearest rows for each of a set of query vectors, exact.
 
     The queries go to every task in rounds of ``BATCH_QUERIES``; each Arrow batch of the corpus is multiplied
-    with them at once and leaves at most ``k`` rows for each query, so what is shuffled is
-    ``batches x queries x k`` small rows and never a pair of all. Rows and queries without a usable vector
+    with them at once and each task leaves at most ``k`` rows for each query (and what ties with the last), so what is shuffled is
+    ``tasks x queries x k`` small rows and never a pair of all. Rows and queries without a usable vector
     are left out; equal distances are ordered by key.
     """
     kind, qkind = corpus.schema[key].dataType, queries.schema[query_id].dataType
@@ -374,6 +383,22 @@ def batch_knn(corpus: DataFrame, key: str, vector: str, queries: DataFrame, quer
         shared = corpus.sparkSession.sparkContext.broadcast((ids, q, norm))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            # one list of the k best for each query and task
+            best: pd.DataFrame | None = None
+            for found in some(batches, shared):
+                best = found if best is None else pd.concat([best, found], ignore_index=True)
+                if len(best) > KEPT_ROWS + 2 * k * len(shared.value[0]):
+                    best = nearest_k(best)
+            if best is not None:
+                yield nearest_k(best)
+
+        def nearest_k(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values(["query_id", "distance"], kind="stable", ignore_index=True)
+            nth = rows.groupby("query_id", sort=False).cumcount()
+            edge = rows["distance"].where(nth == k - 1).groupby(rows["query_id"], sort=False).transform("max")
+            return rows[(nth < k) | (rows["distance"] <= edge + 1e-12)]
+
+        def some(batches: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
             ids, q, norm = shared.value
             for batch in batches:
                 x = np.array(batch["vec"].tolist(), "float64").reshape(-1, dims)
@@ -383,14 +408,14 @@ def batch_knn(corpus: DataFrame, key: str, vector: str, queries: DataFrame, quer
                 if not len(x) or not len(q):
                     continue
                 for at in range(0, len(q), TILE_QUERIES):
-                    some = slice(at, at + TILE_QUERIES)
-                    dots = q[some] @ x.T
+                    part = slice(at, at + TILE_QUERIES)
+                    dots = q[part] @ x.T
                     if metric == "cosine":
-                        d = 1.0 - dots / (norm[some, None] * own[None, :])
+                        d = 1.0 - dots / (norm[part, None] * own[None, :])
                     elif metric == "ip":
                         d = 1.0 - dots
                     else:
-                        d = np.sqrt(np.maximum(norm[some, None] ** 2 + own[None, :] ** 2 - 2 * dots, 0))
+                        d = np.sqrt(np.maximum(norm[part, None] ** 2 + own[None, :] ** 2 - 2 * dots, 0))
                     m = min(k, len(x))
                     # all that tie with the k-th are kept, so that the key decides among them at the end
                     edge = np.partition(d, m - 1, axis=1)[:, m - 1 : m] + 1e-12
@@ -403,5 +428,5 @@ def batch_knn(corpus: DataFrame, key: str, vector: str, queries: DataFrame, quer
     near = parts[0]
     for p in parts[1:]:
         near = near.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy("distance", "key")
+    w = Window.partitionBy("query_id").orderBy(F.round("distance", 12), "key")  # equal but for rounding is equal
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -10,10 +10,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _all() -> dict[str, tuple[Query, str | None]]:
-    from lodestone.queries import filtering, platform, searching, sqldialect
+    from lodestone.queries import filtering, platform, searching, sqldialect, upkeep
 
     out: dict[str, tuple[Query, str | None]] = {}
-    for module in (filtering, searching, sqldialect, platform):
+    for module in (filtering, searching, sqldialect, platform, upkeep):
         out.update(module.QUERIES)
     return out
 

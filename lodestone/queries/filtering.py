@@ -48,7 +48,7 @@ QUERIES = {
     "f13_timestamp_cmp": (_q("events", lambda s: (Timestamp("ts") > "2024-01-10") & (Timestamp("ts") <= "2024-01-12"), ["event_id"]), "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-13'"),
     "f14_timestamp_between": (_q("orders", lambda s: Timestamp("o_orderdate").between("1996-01-01", "1996-03-31"), OC), "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-04-01'"),
     "f15_timestamp_coercion": (_q("events", lambda s: (Timestamp("ts") >= dt.datetime(2024, 1, 20, 12)) & (Timestamp("ts") < 1705838400.5), ["event_id"]), "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' AND epoch_us(ts) < 1705838400500000"),
-    "f16_is_missing": (_q("users", lambda s: Text("description").is_missing(), ["user"]), 'SELECT "user" FROM users WHERE description IS NULL'),
+    "f16_is_missing": (_q("users", lambda s: Tag("credit_score").is_missing() | Num("age").is_missing(), ["user"]), 'SELECT "user" FROM users WHERE credit_score IS NULL OR age IS NULL'),
     "f17_and_or": (_q("customer", lambda s: ((Tag("c_mktsegment") == "building") & (Num("c_acctbal") > 5000)) | ((Num("c_nationkey") == 3) & (Tag("c_mktsegment") == [])), ["c_custkey"]), "SELECT c_custkey FROM customer WHERE (lower(c_mktsegment) = 'building' AND c_acctbal > 5000) OR c_nationkey = 3"),
     "f18_raw_string": (_q("customer", lambda s: "(@c_mktsegment:{machinery|household} @c_acctbal:[(0 +inf]) | -@c_nationkey:[1 24]", ["c_custkey"]), "SELECT c_custkey FROM customer WHERE (lower(c_mktsegment) IN ('machinery', 'household') AND c_acctbal > 0) OR NOT (c_nationkey BETWEEN 1 AND 24)"),
     "f20_escaping": (_q("events", lambda s: str(Tag("event_type") == ["click", "odd:name{}"]), ["event_id"]), "SELECT event_id FROM events WHERE event_type IN ('click', 'odd:name{}')"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 import pandas as pd
@@ -19,7 +18,7 @@ from lodestone.operators.filters import Num, Tag
 from lodestone.operators.index import SearchIndex
 from lodestone.plans.physical import checkpoint_dir
 from lodestone.queries.filtering import TOKENS
-from lodestone.queries.tables import FIELDS, query_vector, schema
+from lodestone.queries.tables import FIELDS, Q0, query_vector, schema
 from lodestone.schema import IndexSchema
 from lodestone.sources.tables import table
 
@@ -84,7 +83,7 @@ def cache_check(spark, d):
     c = table(spark, d, "llm_cache").groupBy("entry_id").agg(F.min("prompt").alias("prompt"), F.min("response").alias("response"), F.min("prompt_vector").alias("prompt_vector"), F.min("inserted_at").alias("inserted_at"), F.min("updated_at").alias("updated_at"))
     c = c.where((F.size("prompt_vector") == 64))
     cache = C.SemanticCache(SearchIndex(C.cache_schema("cache", 64), c, "entry_id"), 0.3)
-    asked = spark.createDataFrame([(k, query_vector(spark, d, k)) for k in range(3)], "q long, v array<float>").unionByName(c.select(F.xxhash64("entry_id").alias("q"), F.col("prompt_vector").alias("v")))
+    asked = spark.createDataFrame([(f"vec {k}", query_vector(spark, d, k)) for k in range(3)], "q string, v array<float>").unionByName(c.select(F.col("entry_id").alias("q"), F.col("prompt_vector").alias("v")))
     out = cache.check_batch(asked, "q", "v", 5)
     return out.select("query_id", "key", "rank", F.round("distance", 6).alias("distance"))
 
@@ -141,13 +140,12 @@ def converted(spark, d):
 
 
 def migrated(spark, d):
-    """Rename a field, move the keys to another prefix, quantise; written beside the old version, validated, switched."""
-    path = f"{checkpoint_dir(spark).removeprefix('file://')}/migration-{uuid.uuid4().hex}"
+    """Rename a field, move the keys to another prefix; written beside the old version, validated, switched."""
+    path = f"{checkpoint_dir(spark)}/migration-{uuid.uuid4().hex}"
     a = IndexSchema.from_dict({"index": {"name": "e", "prefix": "old"}, "fields": [{"name": "label", "type": "numeric"}, {"name": "embedding", "type": "vector", "attrs": {"dims": 64}}]})
     b, renames = M.merge(a, {"index": {"prefix": "new"}, "rename_fields": [{"old_name": "label", "new_name": "topic"}]})
     i = SearchIndex(a, None, "key", path)
     rows = table(spark, d, "embeddings").withColumn("key", F.concat(F.lit("old:"), F.col("vec_id").cast("string"))).drop("vec_id")
-    os.makedirs(path, exist_ok=True)
     i.load(rows)
     m = M.Migrator(spark, path)
     result = m.apply(M.plan(a, b, renames))
@@ -194,6 +192,19 @@ def _stream_dir(spark, d) -> str:
 CACHE = "(SELECT entry_id, min(prompt) AS prompt FROM llm_cache GROUP BY entry_id)"
 SENT = "(SELECT sentence FROM sentence_vectors WHERE sentence IS NOT NULL GROUP BY sentence)"
 
+USABLE = "len({0}) = 64 AND NOT list_bool_or(list_transform({0}, lambda x: isnan(x))) AND list_bool_or(list_transform({0}, lambda x: x <> 0))"
+CHECK_SQL = f"""
+WITH c AS (SELECT entry_id, min(prompt_vector)::DOUBLE[] AS v FROM llm_cache GROUP BY entry_id HAVING {USABLE.format("min(prompt_vector)")}),
+ asked AS (SELECT entry_id AS q, v FROM c UNION ALL SELECT 'vec ' || vec_id, embedding::DOUBLE[] FROM embeddings WHERE vec_id < 3),
+ near AS (SELECT q, entry_id, list_cosine_distance(asked.v, c.v) AS d FROM asked, c)
+SELECT q AS query_id, entry_id AS key, round(d, 6) + 0.0 AS distance, row_number() OVER (PARTITION BY q ORDER BY round(d, 12), entry_id)::INTEGER AS rank FROM near WHERE d <= 0.3 QUALIFY rank <= 5
+"""
+COMPRESSION_SQL = """
+SELECT dims, priority, CASE WHEN dims >= 1024 THEN 'LeanVec4x8' WHEN priority = 'memory' THEN 'LVQ4' WHEN priority = 'speed' THEN 'LVQ4x8' ELSE 'LVQ4x4' END AS compression,
+ CASE WHEN dims >= 1024 AND priority = 'speed' THEN 90.6 WHEN dims >= 1024 THEN 81.2 WHEN priority = 'memory' THEN 87.5 WHEN priority = 'speed' THEN 62.5 ELSE 75.0 END::DOUBLE AS saved
+FROM (VALUES (384), (768), (1024), (1536)) a(dims), (VALUES ('speed'), ('memory'), ('balanced')) b(priority)
+"""
+
 ROUTE_SQL = """
 WITH refs AS (SELECT reference_id, min(lower(route_name)) AS route, arg_min(vector::DOUBLE[], lower(route_name)) AS v FROM router_references GROUP BY 1),
  lim AS (SELECT lower(route_name) AS route, coalesce(max(distance_threshold), 0.5) AS t FROM router_references GROUP BY 1),
@@ -211,14 +222,14 @@ QUERIES = {
     "s9_expired": (expired, "SELECT event_id FROM events WHERE event_type = 'view'"),
     "s10_drop_by_filter": (dropped, "SELECT event_id, event_type FROM events WHERE event_type NOT IN ('error', 'signup')"),
     "s11_update_by_filter": (updated, "SELECT p_partkey, CASE WHEN p_size > 40 AND p_brand = 'Brand#3' THEN 'PROMO' ELSE p_type END AS p_type, CASE WHEN p_size > 40 AND p_brand = 'Brand#3' THEN 1.5 ELSE p_retailprice END AS p_retailprice FROM part"),
-    "s14_inferred_schema": (inferred, None),
+    "s14_inferred_schema": (inferred, "SELECT * FROM (VALUES ('user', 'text'), ('age', 'numeric'), ('job', 'text'), ('description', 'text'), ('last_updated', 'numeric'), ('credit_score', 'text'), ('location', 'geo'), ('user_embedding', 'vector')) t(name, type)"),
     "s15_stats": (stats, f"SELECT count(*) AS num_docs, (SELECT count(DISTINCT t) FROM (SELECT unnest({TOKENS.format('p_name')}) AS t FROM part)) AS num_terms FROM part"),
     "v1_validation": (validated, "SELECT 'vector_field: expected 64 dimensions' AS error, count(*) AS n FROM chat_messages WHERE len(vector_field) <> 64"),
-    "e1_cache_check": (cache_check, None),
+    "e1_cache_check": (cache_check, CHECK_SQL),
     "e2_cache_ids": (cache_ids, "SELECT entry_id, sha256(prompt || 'lang' || 'en') AS id FROM llm_cache"),
     "e5_embeddings_cache": (embeddings_cache, f"SELECT sha256(sentence || ':m1') AS entry_id, length(sentence) < 80 AS hit FROM {SENT}"),
     "e8_recent_messages": (recent, "SELECT session_tag, entry_id, recency FROM (SELECT session_tag, entry_id, row_number() OVER (PARTITION BY session_tag ORDER BY timestamp DESC, entry_id DESC)::INTEGER AS recency FROM (SELECT entry_id, any_value(session_tag) AS session_tag, any_value(timestamp) AS timestamp FROM chat_messages WHERE timestamp IS NOT NULL AND NOT isnan(timestamp) AND session_tag IS NOT NULL GROUP BY entry_id, session_tag)) WHERE recency <= 3"),
-    "e12_relevant_messages": (relevant, None),
+    "e12_relevant_messages": (relevant, f"SELECT entry_id, round(d, 6) AS vector_distance FROM (SELECT entry_id, list_cosine_distance(v, {Q0}) AS d FROM (SELECT entry_id, any_value(vector_field::DOUBLE[]) AS v FROM chat_messages WHERE session_tag = 'ops-watch' AND {USABLE.format('vector_field')} GROUP BY entry_id)) WHERE d <= 0.95 ORDER BY d, entry_id LIMIT 15"),
     "e13_router": (routed, ROUTE_SQL),
     "u1_embed": (embedded, "SELECT p_partkey, [length(p_name), length(p_name) - length(replace(p_name, ' ', '')), 1] AS v FROM part"),
     "u6_rerank": (reranked, "SELECT p_partkey, round(n / 3.0, 6) AS score FROM (SELECT p_partkey, p_name || ' ' || p_partkey AS c, list_contains(w, 'small')::INT + list_contains(w, 'ring')::INT + list_contains(w, '7')::INT AS n FROM (SELECT *, string_split(lower(p_name || ' ' || p_partkey), ' ') AS w FROM part)) ORDER BY n DESC, c LIMIT 5"),
@@ -226,6 +237,6 @@ QUERIES = {
     "m1_quantise_uint8": (quantised("uint8"), quant_sql(0, 128)),
     "m2_convert_bytes": (converted, "SELECT vec_id, 128 AS n_bytes FROM embeddings"),
     "m7_migration": (migrated, "SELECT 'new:' || vec_id AS key, label AS topic FROM embeddings"),
-    "c1_compression": (compression, None),
+    "c1_compression": (compression, COMPRESSION_SQL),
     "st_windowed_counts": (streamed, "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"),
 }

@@ -136,15 +136,27 @@ class IndexSchema:
             return cls.from_dict(yaml.safe_load(f))
 
     @classmethod
-    def from_struct_type(cls, name: str, struct: T.StructType, **index: Any) -> IndexSchema:
-        """The schema of an existing table: numbers, arrays of numbers as vectors, structs lon/lat as geo, arrays of strings as tags."""
+    def from_struct_type(cls, name: str, struct: T.StructType, dims: dict[str, int] | None = None, **index: Any) -> IndexSchema:
+        """The schema of column types: numbers, arrays of numbers as vectors of the given ``dims`` (left out without), structs lon/lat as geo,
+        arrays of strings as tags."""
         fields = []
         for f in struct.fields:
             kind = _kind(f.dataType)
-            if kind and kind != "vector":
+            if kind == "vector":
+                if (dims or {}).get(f.name):
+                    wide = "float64" if isinstance(f.dataType.elementType, T.DoubleType) else "float32"
+                    fields.append({"name": f.name, "type": kind, "attrs": {"dims": dims[f.name], "datatype": wide}})
+            elif kind:
                 fields.append({"name": f.name, "type": kind})
         return cls.from_dict({"index": {"name": name, **index}, "fields": fields})
 
+    @classmethod
+    def from_table(cls, name: str, df: DataFrame, **index: Any) -> IndexSchema:
+        """As ``from_struct_type``; a vector has as many dimensions as most of its values."""
+        vectors = [f.name for f in df.schema.fields if _kind(f.dataType) == "vector"]
+        dims = df.agg(*[F.mode(F.when(F.size(v) > 0, F.size(v))).alias(v) for v in vectors]).first().asDict() if vectors else {}
+        return cls.from_struct_type(name, df.schema, dims, **index)
+
     def to_dict(self) -> dict[str, Any]:
         i = self.index
         info = {"name": i.name, "prefix": i.prefix, "key_separator": i.key_separator, "storage_type": i.storage_type}
@@ -173,26 +185,19 @@ class IndexSchema:
     def remove_field(self, name: str) -> IndexSchema:
         return replace(self, fields={k: v for k, v in self.fields.items() if k != name})
 
-    def generate_fields(self, df: DataFrame, sample_rows: int = 100) -> list[dict[str, Any]]:
-        """Field definitions inferred from column types and, for strings, from up to ``sample_rows`` values:
-        numeric, then geo ("lon,lat"), then tag (lists of strings), then text."""
-        out, strings = [], []
-        for f in df.schema.fields:
-            kind = _kind(f.dataType)
-            if kind == "text":
-                strings.append(f.name)
-            if kind:
-                out.append({"name": f.name, "type": kind})
+    def generate_fields(self, df: DataFrame) -> list[dict[str, Any]]:
+        """Field definitions inferred from column types and, for strings, from all values that are not null: numeric, then geo ("lon,lat"),
+        then tag (lists of strings), then text. One aggregate over the strings."""
+        kinds = {f.name: _kind(f.dataType) for f in df.schema.fields}
+        strings = [n for n, k in kinds.items() if k == "text"]
         if strings:
-            rows = df.select(*strings).limit(sample_rows).collect()
-            for o in out:
-                if o["name"] in strings:
-                    values = [r[o["name"]] for r in rows if r[o["name"]] is not None]
-                    if values and all(_number(v) for v in values):
-                        o["type"] = "numeric"
-                    elif values and all(_point(v) for v in values):
-                        o["type"] = "geo"
-        return out
+            numbers = [F.every(F.col(n).try_cast("double").isNotNull() | F.col(n).isNull()).alias(f"n{i}") for i, n in enumerate(strings)]
+            points = [F.every(F.col(n).rlike(POINT.pattern)).alias(f"p{i}") for i, n in enumerate(strings)]
+            r = df.agg(*numbers, *points, *[F.count(n).alias(f"c{i}") for i, n in enumerate(strings)]).first()
+            for i, n in enumerate(strings):
+                if r[f"c{i}"]:
+                    kinds[n] = "numeric" if r[f"n{i}"] else "geo" if r[f"p{i}"] else "text"
+        return [{"name": n, "type": k} for n, k in kinds.items() if k]
 
     def to_struct_type(self) -> T.StructType:
         kinds = {"text": T.StringType(), "tag": T.ArrayType(T.StringType()), "numeric": T.DoubleType(), "vector": T.ArrayType(T.FloatType())}
@@ -237,18 +242,6 @@ class IndexSchema:
 POINT = re.compile(r"^\s*-?\d{1,3}(\.\d+)?\s*,\s*-?\d{1,2}(\.\d+)?\s*$")
 
 
-def _number(v: Any) -> bool:
-    try:
-        float(v)
-        return True
-    except (TypeError, ValueError):
-        return False
-
-
-def _point(v: Any) -> bool:
-    return isinstance(v, str) and bool(POINT.match(v))
-
-
 def _kind(t: T.DataType) -> str | None:
     if isinstance(t, T.NumericType) or isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return "numeric"

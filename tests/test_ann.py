@@ -19,3 +19,25 @@ def test_recall_pruning_and_bad_vectors(spark, tmp_path):
     plan = index.search(queries.limit(1), "k", "v", 10, probes=2)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [cell" in plan
     assert CellIndex.build(df.limit(0), "k", "v", 16).search(queries, "k", "v").count() == 0
+
+
+def test_vector_queries_use_a_built_index(spark):
+    from lodestone.operators import search as S
+    from lodestone.operators.filters import Num
+    from lodestone.operators.index import SearchIndex
+    from lodestone.schema import IndexSchema
+
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 16))
+    rows = [(k, [float(c) for c in centres[k % 20] + 0.2 * rng.normal(size=16)], k % 3) for k in range(2000)]
+    df = spark.createDataFrame(rows, "k long, v array<float>, n int")
+    schema = IndexSchema.from_dict({"index": {"name": "a"}, "fields": [{"name": "n", "type": "numeric"}, {"name": "v", "type": "vector", "attrs": {"dims": 16, "algorithm": "hnsw"}}]})
+    index = SearchIndex(schema, df, "k")
+    q = S.VectorQuery(vector=rows[7][1], field_name="v", filter=Num("n") == 1, num_results=10)
+    exact = [r.k for r in index.query(q).collect()]
+    cells = index.build_ann("v")
+    near = index.query(q)
+    assert [r.k for r in near.collect()] == exact and "PartitionFilters: [cell" in near._jdf.queryExecution().executedPlan().toString()
+    assert cells.probes(1) < cells.probes(20) <= cells.probes(10**9) == len(cells.centres)
+    index.drop_keys([str(exact[0])])
+    assert [r.k for r in index.query(q).collect()][0] == exact[1]  # a write puts the exact scan back

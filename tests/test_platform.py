@@ -273,3 +273,83 @@ def test_cache_check_asks_with_every_entry(spark, tmp_path):
     got = cache_check(spark, str(tmp_path))
     own = spark.createDataFrame(rows).selectExpr("_1 AS key", "xxhash64(_1) AS query_id")
     assert own.join(got.where("rank = 1 AND distance = 0"), ["key", "query_id"]).count() == 60
+
+
+def test_layers_on_disk(spark, tmp_path):
+    path = str(tmp_path / "t")
+    s = IndexSchema.from_dict({"index": {"name": "layers"}, "fields": [{"name": "n", "type": "numeric"}, {"name": "t", "type": "tag"}]})
+    index = SearchIndex(s, None, "key", path)
+    rows = [{"key": f"k{i}", "n": i, "t": "a"} for i in range(20)]
+    assert index.load(rows) == 20 and index.create()
+    assert index.load([{"key": "k1", "n": 100, "t": "b"}, {"key": "k1", "n": 101, "t": "c"}, {"key": "z", "n": 5, "t": "c"}]) == 3
+    assert index.fetch("k1").n == 101 and index.df.count() == 21
+    assert index.drop_keys(["k2", "k3", "none"]) == 2 and index.update_by_filter(Num("n") == 5, {"t": "five"}).processed == 2
+    assert index.expire_keys("k7", 0) == 1
+    sizes = {p.name: sum(f.stat().st_size for f in p.rglob("*.parquet")) for p in (tmp_path / "t").iterdir() if p.name.startswith("v-")}
+    assert len(sizes) == 5  # the load and four changes, each with its own rows only
+    again = SearchIndex.from_existing("layers", path=path)
+    assert SearchIndex.listall(str(tmp_path)) == ["layers"] and again.schema.to_dict() == s.to_dict() and again.key == "key"
+    live = {r.key: (r.n, r.t) for r in again.df.collect()}
+    assert live["k1"] == (101, "c") and live["z"] == (5, "five") and live["k5"] == (5, "five") and not {"k2", "k3", "k7"} & set(live) and len(live) == 18
+    for k in range(SearchIndex.MAX_LAYERS):
+        index.load([{"key": "z", "n": k, "t": "c"}])
+    assert index.fetch("z").n == SearchIndex.MAX_LAYERS - 1 and index.df.count() == 18
+    assert index.vacuum() > 5 and SearchIndex(s, None, "key", path).df.count() == 18
+    assert index.clear() == 18 and SearchIndex(s, None, "key", path).df.count() == 0
+    index.delete(drop=True)
+    assert not (tmp_path / "t").exists() and not index.exists()
+
+
+def test_a_failed_validation_leaves_the_old_version(spark, tmp_path):
+    a = IndexSchema.from_dict({"index": {"name": "t"}, "fields": [{"name": "n", "type": "numeric"}, {"name": "v", "type": "vector", "attrs": {"dims": 2}}]})
+    before = spark.createDataFrame([("a", 1, [1.0, 2.0]), ("b", 2, [1.0])], "key string, n int, v array<float>")
+    p = M.plan(a, a)
+    assert M.validate(before, before, p).failures == []  # what could not be read before is no fault
+    worse = spark.createDataFrame([("a", 1, [1.0]), ("b", 2, [1.0])], "key string, n int, v array<float>")
+    assert M.validate(before, worse, p).failures == ["1 more vectors cannot be read"]
+    assert M.validate(before, before.where("n = 1").drop("n"), p).failures == ["columns are missing", "the number of rows differs", "1 keys are missing"]
+
+
+def test_fetch_is_pushed_and_pages_are_sought(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id AS key", "CASE WHEN id % 7 = 0 THEN NULL ELSE id % 5 END AS n").write.parquet(path)
+    s = IndexSchema.from_dict({"index": {"name": "p"}, "fields": [{"name": "n", "type": "numeric"}]})
+    index = SearchIndex(s, spark.read.parquet(path), "key")
+    assert index.fetch("42").key == 42 and index.fetch("nothing") is None
+    for up in ("ASC", "DESC"):
+        got = [(r["n"], r["key"]) for page in index.paginate(S.FilterQuery(sort_by=("n", up)), 9) for r in page]
+        order = (lambda x: (x[0] is not None, x[0] or 0, x[1])) if up == "ASC" else (lambda x: (x[0] is None, -(x[0] or 0), x[1]))
+        assert len(got) == 100 and got == sorted(got, key=order)
+
+
+def test_schema_of_a_table(spark):
+    df = spark.createDataFrame([("1", "1.0,2.0", "x", [1.0, 2.0], 1)] * 150 + [("word", "1.0,2.0", "y", [1.0], 2)], "a string, g string, t string, v array<double>, k int")
+    s = IndexSchema.from_table("x", df)
+    assert s.fields["v"].dims == 2 and s.fields["v"].datatype == "float64"
+    assert {f["name"]: f["type"] for f in s.generate_fields(df)} == {"a": "text", "g": "geo", "t": "text", "v": "vector", "k": "numeric"}  # one word among numbers, in the last row
+
+
+def test_router_and_caches_are_kept(spark, tmp_path):
+    table = {"hello": [1.0, 0.0], "bye": [0.0, 1.0]}
+    r = R.SemanticRouter("r", [R.Route("greeting", ["hello"], distance_threshold=0.3), R.Route("farewell", ["bye"], distance_threshold=0.2)], table.__getitem__, spark=spark)
+    r.save(str(tmp_path / "router"))
+
+    def never(_):
+        raise AssertionError("embedded again")
+
+    assert R.SemanticRouter.from_existing(str(tmp_path / "router"), never, spark)(vector=[1.0, 0.1]).name == "greeting"
+    cache = C.EmbeddingsCache(spark.createDataFrame([], C.EmbeddingsCache.SCHEMA), ttl=100)
+    cache.mset(spark.createDataFrame([("a", "m", [1.0], None), ("b", "m", [2.0], None)], "content string, model_name string, embedding array<float>, metadata string"))
+    a, b = C.embedding_key("a", "m"), C.embedding_key("b", "m")
+    before = cache.index._raw().selectExpr("max(_expires_at)").first()[0]
+    time.sleep(0.05)
+    assert [x and x["content"] for x in cache.mget_by_keys([b, "none", a, b])] == ["b", None, "a", "b"] and cache.mexists_by_keys(["none", a]) == [False, True]
+    assert cache.index._raw().selectExpr("min(_expires_at)").first()[0] > before
+    assert cache.mdrop_by_keys([a]) == 1 and cache.mexists_by_keys([a, b]) == [False, True]
+
+
+def test_stored_llm_is_assistant(spark):
+    h = H.MessageHistory(session="s", spark=spark)
+    h.add_message({"role": "llm", "content": "old"}, now=1.0)
+    h.add_message({"role": "assistant", "content": "new"}, now=2.0)
+    assert H.as_context(h.get_recent(5, role="assistant"), as_text=True) == ["old", "new"] == H.as_context(h.get_recent(5, role=["llm"]), as_text=True)
