@@ -84,11 +84,6 @@ def normalised(metric: str, d: Column) -> Column:
     return d
 
 
-def matrix(vectors: list, dims: int) -> np.ndarray:
-    out = np.array([np.asarray(v, "float64") for v in vectors]).reshape(-1, dims)
-    return out
-
-
 def quantise(c: Column, to: str) -> Column:
     """Minimum-maximum scaling of each vector to int8 or uint8 with half-even rounding; a constant vector becomes the midpoint."""
     low, span = (-128, 255) if to == "int8" else (0, 255)

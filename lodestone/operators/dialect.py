@@ -7,7 +7,6 @@ into text.
 
 from __future__ import annotations
 
-import datetime as dt
 import re
 import warnings
 from dataclasses import dataclass, field
@@ -321,7 +320,8 @@ class Parser:
         kept = [w for w in words if w not in stops]
         if kept and len(kept) < len(words):
             warnings.warn(f"stop words are left out of the phrase {text!r}", UserWarning, stacklevel=2)
-            return _Loose(name, " ".join(kept))
+            loose = type("Loose", (_Loose,), {"stops": frozenset(stops)})
+            return loose(name, " ".join(kept))
         return Phrase(name, text)
 
     def like(self, left: Expr, right: Expr) -> Column:
@@ -526,13 +526,12 @@ class Parser:
 
 
 class _Loose(Phrase):
-    """A phrase whose stop words were taken out: the rest in order, with room for what is missing."""
+    """A phrase whose stop words were taken out: the rest in order, with nothing but stop words between them, however many."""
+
+    #: Set by ``phrase``: the stop words that count.
+    stops: frozenset[str] = frozenset()
 
     def compile(self, ctx: Context) -> Column:
         words = ctx.stems(self.name, X.tokenize(self.text))
-        joined = F.concat(F.lit(" "), F.array_join(ctx.tokens(self.name), " "), F.lit(" "))
-        return joined.rlike(" " + r" (?:\S+ ){0,3}".join(re.escape(w) for w in words) + " ")
-
-
-def epoch(day: str) -> float:
-    return dt.datetime.fromisoformat(day).replace(tzinfo=dt.UTC).timestamp()
+        kept = X.tokens(F.col(self.name), not ctx.attr(self.name, "no_stem", False), sorted(self.stops))
+        return F.contains(F.concat(F.lit(" "), F.array_join(kept, " "), F.lit(" ")), F.lit(f" {' '.join(words)} "))

@@ -248,6 +248,20 @@ def stemmed_sql(spark, d):
     return SQLQuery("SELECT doc_id FROM documents WHERE text = 'nightly runs' AND n_chars > 100 LIMIT 2000000").run(stemmed_source(spark, d)).select("doc_id")
 
 
+def phrase_stopwords(spark, d):
+    """The default stop words of a phrase do not count, and any number of them may stand between its words."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return SQLQuery("SELECT p_partkey FROM part WHERE p_name = 'the small and ring' LIMIT 2000000").run(source(spark, d, "part", df=named_parts(spark, d)))
+
+
+def named_parts(spark, d):
+    """Parts whose names hold runs of stop words of any length."""
+    p = table(spark, d, "part")
+    words = F.array_join(F.transform(F.split("p_name", " "), lambda w: F.concat(w, F.expr("repeat(' of the and', CAST(p_partkey % 7 AS INT))"))), " ")
+    return p.withColumn("p_name", words)
+
+
 def index_stopwords(spark, d):
     """Words that the index leaves out do not stand between the others."""
     s = source(spark, d, "documents")
@@ -514,6 +528,7 @@ QUERIES = {
     "f7_phrase_stemmed": (stemmed_phrase, f"SELECT doc_id FROM documents WHERE regexp_matches({PADDED.format('text')}, ' return(s|ed|ing)? the list(s|ed|ing)? ')"),
     "f9_words_stemmed": (stemmed_words, f"SELECT doc_id FROM documents WHERE {ANY.format(TOK, FORMS['compar'])} AND {ANY.format(TOK, FORMS['candid'] + FORMS['stor'])}"),
     "l5_phrase_stemmed": (stemmed_sql, f"SELECT doc_id FROM documents WHERE regexp_matches({PADDED.format('text')}, ' nightly run(s|ning)? ') AND n_chars > 100"),
+    "l5_phrase_stop_words": (phrase_stopwords, f"SELECT p_partkey FROM part WHERE contains({PADDED.format('p_name')}, ' small ring ')"),
     "t7_index_stopwords": (index_stopwords, f"SELECT doc_id FROM documents WHERE contains(' ' || array_to_string(list_filter({TOK}, lambda x: x <> 'the' AND x <> 'of'), ' ') || ' ', ' returns list candidates ')"),
     "q17_built_index": (built_index, "SELECT TRUE AS enough"),
     "q17_indexed_search": (indexed_search, f"SELECT vec_id, round({COS0}, 6) AS vector_distance FROM embeddings WHERE label > 2 ORDER BY {COS0}, vec_id LIMIT 8"),
