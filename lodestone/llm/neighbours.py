@@ -6,8 +6,10 @@ the number of distinct vectors.
 
 ``mutual`` needs only pairs within a small distance. Method: cross-polytope hashing. Pseudo-rotations made of Hadamard transforms with random signs turn each
 unit vector; its code is the nearest signed axis, over several levels. Each table holds every vector under
-its code; a vector also probes the second-nearest axis of each level. Vectors that meet in a bucket are
-compared by 127 sign bits, and what is left is ranked by the exact distance.
+its code; a vector also probes the second-nearest axis of each level. A bucket that is too large is split by further
+levels, up to ``DEPTH`` times. Vectors that meet in a bucket are compared by 127 sign bits, and what is left is ranked by the
+exact distance. Where a bucket is so dense that signs leave many candidates for each vector, the exact distances of
+its vectors are taken in place and only the ``k`` nearest of each go on, so no bucket gives all its pairs.
 
 Only codes and sign bits are shuffled. Vectors that are equal bit for bit are one entry of the index with at
 most ``k + 1`` keys, which loses nothing: the ten most similar of any copy are copies of least key. In ``nearest``
@@ -30,8 +32,10 @@ from lodestone.plans.physical import bounded_broadcast, parallelism, stage_table
 
 #: Rows that a bucket is meant to hold; the number of axes grows with the table.
 BUCKET_ROWS = 96
-#: A bucket over so many rows is split by one more level of hashing.
-HEAVY_ROWS = 4096
+#: A bucket over so many rows is split by one more level of hashing, at most so many times.
+HEAVY_ROWS, DEPTH = 4096, 3
+#: A bucket whose signs leave more candidates than so many for each of its rows is ranked exactly where it is.
+CROWDED = 32
 #: Two vectors meet if their sign bits differ in at most the mean of vectors at ``max_distance`` plus so many deviations:
 #: at that very distance 0.6 in 100 are lost, at half of it none.
 SIGMAS = 2.5
@@ -49,9 +53,9 @@ TASK_BLOCKS = 8
 #: The part of two blocks that is multiplied at once.
 TILE = (512, 4096)
 
-#: ``place`` is table and code; ``subs`` the nearest and second axis of one more level; the least bit of ``s0`` marks the
+#: ``place`` is table and code; ``subs`` the nearest and second axes of further levels; the least bit of ``s0`` marks the
 #: vector's own bucket, the other 127 bits of ``s0`` and ``s1`` are signs.
-BUCKETS = "place long, subs int, vid long, s0 long, s1 long"
+BUCKETS = "place long, subs long, vid long, s0 long, s1 long"
 
 
 @lru_cache(maxsize=64)
@@ -108,7 +112,7 @@ def usable(batch: pa.RecordBatch, column: int, dims: int) -> tuple[np.ndarray, n
     return ok[good], unit.astype("float32")
 
 
-def _hasher(dims: int, tables: int, shape: list[int], counting: bool):
+def _hasher(dims: int, tables: int, shape: list[int], counting: bool, depth: int = 0):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(64, dtype="uint64")
         place = np.cumprod([1] + [2 * m for m in shape])
@@ -130,8 +134,11 @@ def _hasher(dims: int, tables: int, shape: list[int], counting: bool):
                 if counting:
                     yield pa.RecordBatch.from_arrays([pa.array(code)], names=["place"])
                     continue
-                sub, sub2 = axes(unit @ rotation(dims, 100 * t + 99))
-                subs = pa.array((sub * 2 * size + sub2).astype("int32"))
+                packed = np.zeros(len(vid), "int64")
+                for level in range(depth):
+                    first, second = axes(unit @ rotation(dims, 100 * t + 90 + level))
+                    packed += (first.astype("int64") * 2 * size + second) * (4 * size * size) ** level
+                subs = pa.array(packed)
                 for k, c in enumerate([code] + [code + (p[1].astype("int64") - p[0]) * w for p, w in zip(pairs, place)]):
                     own = s0 | np.uint64(1) if k == 0 else s0
                     yield pa.RecordBatch.from_arrays([pa.array(c), subs, pa.array(vid), pa.array(own.view("int64")), pa.array(s1.view("int64"))], names=["place", "subs", "vid", "s0", "s1"])
@@ -140,25 +147,25 @@ def _hasher(dims: int, tables: int, shape: list[int], counting: bool):
 
 
 def _meet(limit_bits: int, k: int):
-    """Pairs of one bucket whose sign bits are near; a stream sorted by bucket, with the open bucket carried on."""
-
-    def bucket(vid: np.ndarray, home: np.ndarray, s: np.ndarray) -> list[np.ndarray]:
-        # one row for each vector, home before probe
-        order = np.lexsort((~home, vid))
-        vid, home, s = vid[order], home[order], s[order]
-        first = np.concatenate([[True], vid[1:] != vid[:-1]])
-        vid, home, s = vid[first], home[first], s[first]
+    """Pairs of one bucket whose sign bits are near, or the name of the bucket where they are too many; a stream sorted by bucket, with
+    the open bucket carried on."""
+
+    def bucket(vid: np.ndarray, home: np.ndarray, s: np.ndarray) -> list[np.ndarray] | None:
+        vid, home, s = _once(vid, home, s)
         base = np.flatnonzero(home)
-        out = []
+        out, total = [], 0
         for a in range(0, len(vid), 1024):
             q = slice(a, min(len(vid), a + 1024))
-            near = []
+            near, held = [], 0
             for b in range(0, len(base), 4096):
                 j = base[b : b + 4096]
                 bits = np.bitwise_count(s[q][:, None, :] ^ s[j][None, :, :]).sum(axis=2, dtype="int16")
                 x, y = np.nonzero(bits <= limit_bits)
                 keep = vid[q][x] != vid[j][y]
                 near.append((x[keep], j[y[keep]], bits[x[keep], y[keep]]))
+                held += int(keep.sum())
+                if held > 4 * CROWDED * 1024:
+                    return None
             x, j, bits = (np.concatenate(c) for c in zip(*near)) if near else (np.zeros(0, int),) * 3
             if len(x):
                 order = np.lexsort((bits, x))
@@ -168,6 +175,9 @@ def _meet(limit_bits: int, k: int):
                 keep = bits <= bits[nth] + SLACK_BITS
                 v, w = vid[q][x[keep]], vid[j[keep]]
                 out.append(np.stack([np.minimum(v, w), np.maximum(v, w)], axis=1))
+                total += len(v)
+                if total > CROWDED * len(vid):
+                    return None
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,46 +190,118 @@ def _meet(limit_bits: int, k: int):
             s = rows[["s0", "s1"]].to_numpy().view("uint64")  # bitwise_count takes the absolute value of signed numbers
             home = (s[:, 0] & np.uint64(1)) == 1
             s[:, 0] &= ~np.uint64(1)
-            out = []
+            out, crowded = [], []
             for a, b in zip(np.concatenate([[0], edge]), np.concatenate([edge, [len(rows)]])):
                 if b - a > 1 and home[a:b].any():
-                    out += bucket(vid[a:b], home[a:b], s[a:b])
+                    got = bucket(vid[a:b], home[a:b], s[a:b])
+                    if got is None:
+                        crowded.append(int(code[a]))
+                    else:
+                        out += got
             got = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), "int64")
-            return pd.DataFrame(got, columns=["a", "b"])
+            made = pd.DataFrame({"a": got[:, 0], "b": got[:, 1], "place": pd.array([None] * len(got), "Int64")})
+            extra = pd.DataFrame({"a": pd.array([None] * len(crowded), "Int64"), "b": pd.array([None] * len(crowded), "Int64"), "place": crowded})
+            return pd.concat([made, extra]).astype("Int64") if crowded else made
 
-        for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            open_ = (rows["place"] == rows["place"].iloc[-1]).to_numpy()
-            rest = rows[open_]
-            if not open_.all():
-                yield pairs(rows[~open_])
-        if rest is not None and len(rest):
-            yield pairs(rest)
+        for rows in _whole(batches):
+            yield pairs(rows)
+
+    return run
+
+
+def _once(vid: np.ndarray, home: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One row for each vector of a bucket, home before probe."""
+    order = np.lexsort((~home, vid))
+    first = order[np.concatenate([[True], vid[order][1:] != vid[order][:-1]])]
+    return tuple(x[first] for x in (vid, home, *more))
+
+
+def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches of whole buckets, from a stream sorted by bucket; the pieces of an open bucket are held and joined once."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        last = batch["place"].iloc[-1]
+        open_ = (batch["place"] == last).to_numpy()
+        if open_.all() and (not held or held[0]["place"].iloc[-1] == last):
+            held.append(batch)
+            continue
+        yield pd.concat([*held, batch[~open_]], ignore_index=True)
+        held = [batch[open_]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _ranked_buckets(dims: int, k: int):
+    """Of each vector of a bucket the ``k`` nearest at home in it (and what ties with the last), by exact distance."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _whole(batches):
+            code = rows["place"].to_numpy()
+            edge = np.flatnonzero(code[1:] != code[:-1]) + 1
+            for a, b in zip(np.concatenate([[0], edge]), np.concatenate([edge, [len(rows)]])):
+                unit = np.array(rows["vec"].iloc[a:b].tolist(), "float64").reshape(-1, dims)
+                unit /= np.sqrt((unit**2).sum(axis=1))[:, None]
+                vid, home, unit = _once(rows["vid"].to_numpy()[a:b], rows["home"].to_numpy()[a:b], unit)
+                base = np.flatnonzero(home)
+                if not len(base):
+                    continue
+                for at in range(0, len(vid), 256):
+                    d = 1.0 - unit[at : at + 256] @ unit[base].T
+                    d[vid[at : at + 256, None] == vid[None, base]] = np.inf
+                    m = min(k, len(base))
+                    bar = np.partition(d, m - 1, axis=1)[:, m - 1 : m] + 1e-12
+                    x, y = np.nonzero((d <= bar) & np.isfinite(d))
+                    v, w = vid[at + x], vid[base[y]]
+                    yield pd.DataFrame({"a": np.minimum(v, w), "b": np.maximum(v, w)})
 
     return run
 
 
+def placed(vectors: DataFrame, dims: int, tables: int, shape: list[int]) -> DataFrame:
+    """``place, vid, s0, s1``: every vector under the buckets that it is at home in and those that it probes; too large ones are split."""
+    counted = vectors.mapInArrow(_hasher(dims, tables, shape, True), "place long").groupBy("place").count()
+    heavy = stage_table(counted.where(F.col("count") > HEAVY_ROWS).select("place", F.lit(True).alias("heavy")))
+    columns = ["place", "vid", "s0", "s1"]
+    if heavy.isEmpty():
+        return vectors.mapInArrow(_hasher(dims, tables, shape, False), BUCKETS).select(*columns)
+    axes_ = 2 * rotation(dims, 0).shape[1]
+    depth = min(DEPTH, int(62 // (2 * np.log2(axes_))))
+    rows = vectors.mapInArrow(_hasher(dims, tables, shape, False, depth), BUCKETS)
+    for level in range(depth):
+        # in a heavy bucket a row lies under its own axis of the next level and probes the second one
+        own = F.floor(F.col("subs") / F.lit((axes_ * axes_) ** level * axes_)).cast("long") % axes_
+        probe = F.floor(F.col("subs") / F.lit((axes_ * axes_) ** level)).cast("long") % axes_
+        deep = F.array(F.struct(F.xxhash64("place", own).alias("place"), F.col("s0").alias("s0")), F.struct(F.xxhash64("place", probe).alias("place"), F.col("s0").bitwiseAND(F.lit(-2)).alias("s0")))
+        flat = F.array(F.struct(F.col("place").alias("place"), F.col("s0").alias("s0")))
+        rows = rows.join(bounded_broadcast(heavy, BROADCAST_IDS), "place", "left").select("vid", "s1", "subs", F.explode(F.when(F.col("heavy"), deep).otherwise(flat)).alias("x"))
+        rows = stage_table(rows.select("x.place", "subs", "vid", "x.s0", "s1"))
+        at_home = rows.where(F.col("s0").bitwiseAND(F.lit(1)) == 1).groupBy("place").count()
+        heavy = stage_table(at_home.where(F.col("count") > HEAVY_ROWS).select("place", F.lit(True).alias("heavy")))
+        if heavy.isEmpty():
+            break
+    return rows.select(*columns)
+
+
 def candidates(vectors: DataFrame, rows: int, dims: int, max_distance: float, k: int, tables: int | None = None) -> DataFrame:
-    """``a, b`` (a < b): ids of vectors that meet in a bucket with near sign bits. ``vectors``: vid, vector."""
+    """``a, b`` (a < b): ids of vectors that meet in a bucket with near sign bits, staged. ``vectors``: vid, vec."""
     shape = levels(rows, dims)
     tables = tables or max(3, len(shape) + 1)
     p = np.arccos(1 - min(max_distance, 1.0)) / np.pi
     limit = int(np.ceil(SIGN_BITS * p + SIGMAS * (SIGN_BITS * p * (1 - p)) ** 0.5))
-    placed = vectors.mapInArrow(_hasher(dims, tables, shape, False), BUCKETS)
-    counted = vectors.mapInArrow(_hasher(dims, tables, shape, True), "place long").groupBy("place").count()
-    heavy = stage_table(counted.where(F.col("count") > HEAVY_ROWS).select("place", F.lit(True).alias("heavy")))
-    size = rotation(dims, 0).shape[1]
-    if not heavy.isEmpty():
-        # in a heavy bucket a row lies under its own sub-code and probes the second one
-        own, probe = F.floor(F.col("subs") / (2 * size)), F.col("subs") % (2 * size)
-        clear = F.col("s0").bitwiseAND(F.lit(-2))
-        deep = F.array(F.struct(own.cast("long").alias("sub"), F.col("s0").alias("s0")), F.struct(probe.cast("long").alias("sub"), clear.alias("s0")))
-        flat = F.array(F.struct(F.lit(-1).cast("long").alias("sub"), F.col("s0").alias("s0")))
-        placed = placed.join(bounded_broadcast(heavy, BROADCAST_IDS), "place", "left")
-        placed = placed.select("place", "vid", "s1", F.explode(F.when(F.col("heavy"), deep).otherwise(flat)).alias("x"))
-        placed = placed.select((F.col("place") * (2 * size + 1) + F.col("x.sub") + 1).alias("place"), "vid", "x.s0", "s1")
-    met = placed.select("place", "vid", "s0", "s1").repartition(parallelism(vectors.sparkSession), "place").sortWithinPartitions("place")
-    return met.mapInPandas(_meet(limit, k), "a long, b long").distinct()
+    at = placed(vectors, dims, tables, shape)
+
+    def together(df: DataFrame) -> DataFrame:
+        return df.repartition(parallelism(vectors.sparkSession), "place").sortWithinPartitions("place")
+
+    met = stage_table(together(at).mapInPandas(_meet(limit, k), "a long, b long, place long").distinct())
+    pairs, crowded = met.where("place IS NULL").select("a", "b"), met.where("place IS NOT NULL").select("place")
+    if crowded.isEmpty():
+        return pairs
+    dense = at.join(bounded_broadcast(crowded, BROADCAST_IDS), "place", "left_semi").select("place", "vid", (F.col("s0").bitwiseAND(F.lit(1)) == 1).alias("home"))
+    once = vectors.where(is_usable("vec", dims)).dropDuplicates(["vid"])
+    return stage_table(pairs.unionByName(together(dense.join(once, "vid")).mapInPandas(_ranked_buckets(dims, k), "a long, b long")).distinct())
 
 
 def cosine_distance(a: str, b: str) -> Column:
@@ -401,7 +483,7 @@ def close(df: DataFrame, key: str, vector: str, dims: int = 64, k: int = 10, max
     rows = df.count()
     base = df.select(F.col(key).alias("key"), F.col(vector).alias("vec")).where(F.col("key").isNotNull() & (F.size("vec") == dims))
     base = base.withColumn("vid", F.xxhash64("vec"))
-    pairs = stage_table(candidates(base.select("vid", "vec"), rows, dims, max_distance, k, tables))
+    pairs = candidates(base.select("vid", "vec"), rows, dims, max_distance, k, tables)
     ids = bounded_broadcast(pairs.select(F.explode(F.array("a", "b")).alias("vid")).distinct(), BROADCAST_IDS)
     vecs = base.join(ids, "vid", "left_semi").select("vid", "vec").dropDuplicates(["vid"])
     near = pairs.join(vecs.select(F.col("vid").alias("a"), F.col("vec").alias("va")), "a").join(vecs.select(F.col("vid").alias("b"), F.col("vec").alias("vb")), "b")

@@ -50,6 +50,22 @@ def test_heavy_buckets_are_split(spark, monkeypatch):
     assert len(got & want) >= 0.9 * len(want)
 
 
+def test_a_dense_cluster_gives_no_more_than_k_candidates_a_vector(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=16)
+    x = np.concatenate([centre + 0.1 * rng.normal(size=(1500, 16)), rng.normal(size=(500, 16))])
+    rows = [(f"k{i:04d}", [float(c) for c in v.astype("float32")]) for i, v in enumerate(x)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+    want = brute(rows, 10, 0.09, 16)
+    for heavy in (100_000, 200):  # the cluster in one bucket; and split by further levels
+        monkeypatch.setattr(neighbours, "HEAVY_ROWS", heavy)
+        got = {(r.key_a, r.key_b) for r in neighbours.mutual(df, "key", "vec", dims=16, tables=8).collect()}
+        assert len(got & want) >= (0.98 if heavy > 1000 else 0.9) * len(want) and len(got - want) <= 0.1 * len(want)
+    monkeypatch.setattr(neighbours, "HEAVY_ROWS", 100_000)
+    vectors = df.selectExpr("xxhash64(vec) AS vid", "vec")
+    assert neighbours.candidates(vectors, 2000, 16, 0.09, 10, 4).count() < 4 * 11 * 3 * 2000
+
+
 def test_rotation_keeps_lengths_and_levels_follow_size():
     r = neighbours.rotation(64, 3)
     assert np.allclose(r @ r.T, np.eye(64), atol=1e-5)
