@@ -61,6 +61,15 @@ def p4_nearest(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b)
 
 
+def p4_recall(spark: SparkSession, d: str) -> DataFrame:
+    """The share of true neighbours among those of ``p4_nearest``, over the keys whose hash is divisible by 50 against all rows."""
+    from lodestone.llm import neighbours
+
+    parts = [("chat_messages", "entry_id", "vector_field"), ("sentence_vectors", "record_key", "embedding")]
+    a, b = (neighbours.recall(T(spark, d, t), k, v).select(F.lit(t).alias("table_name"), "asked", "recall") for t, k, v in parts)
+    return a.unionByName(b)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     from lodestone.llm import conversations
 

@@ -106,7 +106,7 @@ def test_nearest_lists_ten_at_any_distance(spark, monkeypatch):
     rows += [(f"c{i}", rows[0][1]) for i in range(4)] + [(f"s{i}", [x * 2.0**i for x in rows[1][1]]) for i in range(1, 14)] + [rows[7]] * 3
     rows += [("n1", None), ("n2", [0.0] * 16), ("n3", [float("nan")] * 16), ("n4", [1.0] * 15), ("n5", [None] + [1.0] * 15), (None, rows[1][1])]
     df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
-    assert lists(neighbours.nearest(df, "key", "vec", dims=16)) == exact(rows, 10, 16)
+    assert lists(neighbours.nearest(df, "key", "vec", dims=16, exact=True)) == exact(rows, 10, 16)
     assert neighbours.nearest(df.limit(0), "key", "vec", dims=16).count() == 0
     assert neighbours.nearest(df.where("key = 'k005'"), "key", "vec", dims=16).count() == 0
 
@@ -115,7 +115,7 @@ def test_nearest_of_keys_with_several_vectors(spark):
     rng = np.random.default_rng(9)
     rows = [(f"k{i % 40:02d}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(100, 16)).astype("float32"))]
     df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
-    assert lists(neighbours.nearest(df, "key", "vec", dims=16)) == exact(rows, 10, 16)
+    assert lists(neighbours.nearest(df, "key", "vec", dims=16, exact=True)) == exact(rows, 10, 16)
 
 
 def test_every_copy_has_its_list(spark):
@@ -123,8 +123,31 @@ def test_every_copy_has_its_list(spark):
     rows = [(f"k{i:03d}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(60, 16)).astype("float32"))]
     rows += [(f"c{i:02d}", rows[0][1]) for i in range(30)] * 2
     df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
-    got = lists(neighbours.nearest(df, "key", "vec", dims=16))
+    got = lists(neighbours.nearest(df, "key", "vec", dims=16, exact=True))
     assert got == exact(rows, 10, 16) and len(got["c29"]) == 10
     rows += [("c29", rows[5][1]), ("c28", rows[6][1])] + [(f"a{i:02d}", rows[6][1]) for i in range(12)]
     df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
-    assert lists(neighbours.nearest(df, "key", "vec", dims=16)) == exact(rows, 10, 16)
+    assert lists(neighbours.nearest(df, "key", "vec", dims=16, exact=True)) == exact(rows, 10, 16)
+
+
+def test_hashed_lists_hold_most_of_the_true_ones(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "WIDE_ROWS", 100)
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(12, 16))
+    x = np.concatenate([centres[rng.integers(12, size=1200)] + 0.5 * rng.normal(size=(1200, 16)), centres[0] + 0.05 * rng.normal(size=(700, 16))]).astype("float32")
+    rows = [(f"k{i:04d}", [float(c) for c in v]) for i, v in enumerate(x)] + [("c1", [float(c) for c in x[0]])] * 2
+    rows += [("n1", None), ("n2", [0.0] * 16), ("n3", [float("nan")] * 16), (None, rows[1][1])]
+    df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+    true = exact(rows, 10, 16)
+    for most in (4096, 40):  # 40: nearly every bucket is split further
+        monkeypatch.setattr(neighbours, "HEAVY_ROWS", most)
+        got = {}
+        for r in neighbours.nearest(df, "key", "vec", dims=16, tables=10).orderBy("key", "nth").collect():
+            got.setdefault(r.key, []).append((r.distance, r.neighbour))
+        found = sum(len({n for _, n in got.get(k, [])} & {n for _, n in w}) for k, w in true.items())
+        assert found >= (0.9 if most > 1000 else 0.6) * sum(map(len, true.values()))
+        assert got["c1"][0] == (0.0, "k0000") and all(a == sorted(a) and len({n for _, n in a}) == len(a) for a in got.values())
+        near = {(k, n): d for k, w in true.items() for d, n in w}
+        assert all(abs(d - near[k, n]) < 1e-4 for k, w in got.items() for d, n in w if (k, n) in near)
+    assert neighbours.nearest(df.limit(0), "key", "vec", dims=16).count() == 0
+    assert neighbours.recall(df, "key", "vec", 16).first().recall >= 0.8
