@@ -383,7 +383,7 @@ def _pack(s: pd.Series) -> pd.Series:
     return s.map(lambda v: V.to_bytes(v, "float32"))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _unpack(s: pd.Series) -> pd.Series:
     return s.map(lambda b: [float(x) for x in V.from_bytes(bytes(b), "float64")])
 

@@ -271,7 +271,7 @@ def test_cache_check_asks_with_every_entry(spark, tmp_path):
     spark.createDataFrame(rows, "entry_id string, prompt string, response string, prompt_vector array<float>, inserted_at double, updated_at double").write.parquet(str(tmp_path / "llm_cache.parquet"))
     spark.createDataFrame([(i, vec()) for i in range(3)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     got = cache_check(spark, str(tmp_path))
-    own = spark.createDataFrame(rows).selectExpr("_1 AS key", "xxhash64(_1) AS query_id")
+    own = spark.createDataFrame(rows).selectExpr("_1 AS key", "_1 AS query_id")
     assert own.join(got.where("rank = 1 AND distance = 0"), ["key", "query_id"]).count() == 60
 
 
