@@ -362,6 +362,14 @@ class MultiVectorQuery(Query):
         return self._project(self._sort(top, s.key), s.key, [*names, "combined_score"])
 
 
+def nearest_k(rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` nearest rows of each ``query_id``, and what ties with the last of them."""
+    rows = rows.sort_values(["query_id", "distance"], kind="stable", ignore_index=True)
+    nth = rows.groupby("query_id", sort=False).cumcount()
+    edge = rows["distance"].where(nth == k - 1).groupby(rows["query_id"], sort=False).transform("max")
+    return rows[(nth < k) | (rows["distance"] <= edge + 1e-12)]
+
+
 def batch_knn(corpus: DataFrame, key: str, vector: str, queries: DataFrame, query_id: str, query_vector: str, dims: int, k: int = 10, metric: str = "cosine", threshold: float | None = None) -> DataFrame:
     """``query_id, key, distance, rank``: the ``k`` nearest rows for each of a set of query vectors, exact.
 
@@ -388,15 +396,9 @@ def batch_knn(corpus: DataFrame, key: str, vector: str, queries: DataFrame, quer
             for found in some(batches, shared):
                 best = found if best is None else pd.concat([best, found], ignore_index=True)
                 if len(best) > KEPT_ROWS + 2 * k * len(shared.value[0]):
-                    best = nearest_k(best)
+                    best = nearest_k(best, k)
             if best is not None:
-                yield nearest_k(best)
-
-        def nearest_k(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(["query_id", "distance"], kind="stable", ignore_index=True)
-            nth = rows.groupby("query_id", sort=False).cumcount()
-            edge = rows["distance"].where(nth == k - 1).groupby(rows["query_id"], sort=False).transform("max")
-            return rows[(nth < k) | (rows["distance"] <= edge + 1e-12)]
+                yield nearest_k(best, k)
 
         def some(batches: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
             ids, q, norm = shared.value

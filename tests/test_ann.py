@@ -1,7 +1,7 @@
 import numpy as np
 
 from lodestone.operators.ann import CellIndex, recall
-from lodestone.operators.search import batch_knn
+from lodestone.operators.search import BATCH_QUERIES, batch_knn
 
 
 def test_recall_pruning_and_bad_vectors(spark, tmp_path):
@@ -21,6 +21,18 @@ def test_recall_pruning_and_bad_vectors(spark, tmp_path):
     assert CellIndex.build(df.limit(0), "k", "v", 16).search(queries, "k", "v").count() == 0
 
 
+def test_more_queries_than_one_round(spark):
+    rng = np.random.default_rng(11)
+    df = spark.createDataFrame([(f"k{k}", [float(c) for c in v]) for k, v in enumerate(rng.integers(-2, 3, size=(BATCH_QUERIES + 300, 4)))], "k string, v array<float>")
+    index = CellIndex.build(df.where("substring(k, -1) = '7'"), "k", "v", 4, cells=30)
+    exact = batch_knn(df.where("substring(k, -1) = '7'"), "k", "v", df, "k", "v", 4, 10)  # whole numbers: many equal distances
+    near = index.search(df, "k", "v", 10, probes=30)
+    assert near.select("query_id", "rank", "key").exceptAll(exact.select("query_id", "rank", "key")).count() == 0
+    assert near.count() == exact.count() > 10 * BATCH_QUERIES
+    assert recall(index.search(df, "k", "v", 10, probes=15), exact) >= 0.8
+    assert recall(near.where("rank <= 5"), exact) == 0.5
+
+
 def test_vector_queries_use_a_built_index(spark):
     from lodestone.operators import search as S
     from lodestone.operators.filters import Num
