@@ -45,6 +45,34 @@ def test_cut_short(text, cut):
     assert answers.cut_short(text)[0] == cut
 
 
+ASKED = "Wie groß ist der Index & was kostet er?"
+
+
+@pytest.mark.parametrize("answer", [
+    ASKED, f"> **{ASKED}**", " ".join([ASKED] * 4), "\n".join([ASKED] * 101), "WIE GROSS IST DER INDEX & WAS KOSTET ER?", f"```text\n{ASKED}\n```", "<blockquote><p>Wie groß ist der Index &amp; was kostet er?</p></blockquote>",
+    f"You asked: {ASKED}", f"**Frage:** {ASKED}\n**Frage:** {ASKED}",
+])
+def test_echo_in_any_dress_and_number(answer):
+    assert answers.is_echo(answers.echo_keys(ASKED), answers.echo_keys(answer))
+
+
+@pytest.mark.parametrize("prompt,answer", [
+    (ASKED, f"{ASKED} Er ist klein."), (ASKED, f"{ASKED} {ASKED[:20]}"), (ASKED, "Wie groß ist der Index?"), (ASKED, ""), ("", ""), ("?", "!"), ("Ja, ja, ja.", "Ja."), ("Ja, ja.", "Ja, ja, ja."), ("User: a", "Code: a"),
+])
+def test_no_echo(prompt, answer):
+    assert not answers.is_echo(answers.echo_keys(prompt), answers.echo_keys(answer))
+
+
+def test_echo_without_line_breaks():
+    prompt = "Look:\n```text\nrows\n```\nQuestion: what is it?"
+    assert answers.is_echo(answers.echo_keys(prompt), answers.echo_keys(prompt.replace("\n", " ")))
+
+
+def test_many_copies_are_an_echo_in_a_table(spark):
+    rows = [("1", "user", "Which rows are kept?", "a", 1.0), ("2", "ai", "Which rows are kept?\n" * 5, "a", 2.0), ("3", "user", "!", "a", 3.0), ("4", "ai", "Only the last rows are kept.", "a", 4.0)]
+    assert [tuple(r) for r in answers.found(frame(spark, rows)).collect()] == [("2", "echo")]
+
+
 def test_pairs(spark):
     q = "How does the router compare the stored rows after a restart?"
     good = "The router compares the rows after a restart."
